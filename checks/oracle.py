@@ -49,7 +49,7 @@ untidy AS (
   SELECT d.doc_id,
     CASE WHEN l.quality <> 1 AND l.toxic <> 1 THEN NULL
          WHEN l.quality = 1 AND l.toxic = 1 THEN chr(9) || chr(160) || ' '
-         ELSE chr(9) || ' ' || d.text || ' ' || chr(28) END AS text,
+         ELSE chr(9) || chr(160) || d.text || chr(8195) || chr(28) END AS text,
     CASE WHEN l.quality <> 1 AND l.toxic = 1 THEN NULL
          WHEN d.source = 'src3' THEN '  '
          ELSE ' ' || d.lang || chr(9) END AS lang

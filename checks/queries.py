@@ -20,6 +20,7 @@ from corpuscope.operators import (
     classifier, cleaning, distributions, labels, metrics, quality, schema, splitting, terms,
 )
 from corpuscope.plans import prepare, profile
+from corpuscope.sources import tables
 from corpuscope.staging import shared_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +37,11 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tables.read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return tables.spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ def untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(~good & ~toxic, None)
         .when(good & toxic, F.lit("\t\u00a0 "))
-        .otherwise(F.concat(F.lit("\t "), F.col("text"), F.lit(" \x1c")))
+        .otherwise(F.concat(F.lit("\t\u00a0"), F.col("text"), F.lit("\u2003\x1c")))
     )
     label = (
         F.when(~good & toxic, None)
@@ -193,7 +194,7 @@ def outlier_rows(spark, sf):
 
 @query
 def exact_dedup(spark, sf):
-    return cleaning.drop_duplicate_texts(documents(spark, sf).select("doc_id", "text", "lang"), **NOTES)
+    return cleaning.drop_duplicate_texts(documents(spark, sf).select("doc_id", "text", "lang"), "text")
 
 
 @query

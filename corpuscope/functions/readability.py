@@ -32,13 +32,13 @@ def with_readability(df: DataFrame, text: str = "transcription") -> DataFrame:
             T.word_count(source).cast("double").alias("w"),
             F.greatest(T.sentence_count(source), F.lit(1)).cast("double").alias("s"),
             F.regexp_count(lowered, F.lit(T.VOWEL_GROUP)).cast("double").alias("groups"),
-            F.regexp_count(lowered, F.lit(T.WORD_WITH_VOWEL)).cast("double").alias("voiced"),
+            F.regexp_count(lowered, F.lit(T.WORD_WITHOUT_VOWEL)).cast("double").alias("voiceless"),
             F.regexp_count(lowered, F.lit(T.COMPLEX_WORD)).cast("double").alias("complex"),
             F.length(F.regexp_replace(source, T.NOT_LETTER_OR_DIGIT, "")).cast("double").alias("letters"),
         )).alias("_counts"),
     )
     w, s = F.col("_counts.w"), F.col("_counts.s")
-    syllables = F.col("_counts.groups") + (w - F.col("_counts.voiced"))
+    syllables = F.col("_counts.groups") + F.col("_counts.voiceless")
     ease = 206.835 - 1.015 * (w / s) - 84.6 * (syllables / w)
     grade = 0.39 * (w / s) + 11.8 * (syllables / w) - 15.59
     fog = 0.4 * ((w / s) + 100.0 * (F.col("_counts.complex") / w))

@@ -19,17 +19,21 @@ SPACE = r"\t-\r\x1c-\x20\x{85}\p{Z}"
 WORD = rf"[^{SPACE}]+"
 SENTENCE = rf"[^{SPACE}.!?][^.!?]*"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-# The look-behind and the possessive run keep this linear on long inner gaps.
-EDGES = rf"^[{SPACE}]++|(?<![{SPACE}])[{SPACE}]++\z"
-
-VOWELS = "aeiouy"
-VOWEL_GROUP = f"[{VOWELS}]+"
-_REST = rf"[^{VOWELS}{SPACE}]"
-WORD_WITH_VOWEL = rf"{_REST}*[{VOWELS}][^{SPACE}]*"
-# At least three vowel groups inside one word.
-COMPLEX_WORD = (
-    rf"{_REST}*[{VOWELS}]+{_REST}+[{VOWELS}]+{_REST}+[{VOWELS}][^{SPACE}]*"
+
+LONGEST_WORD_PATTERN = 200  # the pattern nests once per word; longer ones are counted
+
+# Every whitespace code point, the members of SPACE.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+
+VOWEL_GROUP = "[aeiouy]+"
+_WORD_START = rf"(?<![^{SPACE}])"
+_OTHER = rf"[^aeiouy{SPACE}]"
+# Possessive runs and the anchor at a word's start leave nothing to back-track into.
+WORD_WITHOUT_VOWEL = rf"{_WORD_START}{_OTHER}++(?![aeiouy])"
+COMPLEX_WORD = rf"{_WORD_START}{_OTHER}*+[aeiouy]++{_OTHER}++[aeiouy]++{_OTHER}++[aeiouy]"
 NOT_LETTER_OR_DIGIT = r"[^\p{L}\p{Nd}]+"
 
 
@@ -39,7 +43,7 @@ def _count(text: Column, pattern: str) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove Unicode whitespace from both ends."""
-    return F.regexp_replace(text, EDGES, "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def char_len(text: Column) -> Column:
@@ -52,6 +56,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(_count(text, WORD), F.lit(0).cast("long"))
 
 
+def at_least_words(text: Column, least: int) -> Column:
+    """Whether the text has ``least`` words or more; reads no further than that many words."""
+    if least <= 0:
+        return text.isNotNull()
+    if least > LONGEST_WORD_PATTERN:
+        return word_count(text) >= least
+    return text.rlike(rf"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{{least - 1}}}[^{SPACE}]")
+
+
 def sentence_count(text: Column) -> Column:
     """Non-blank pieces between runs of ``.``, ``!`` and ``?``; 0 for NULL."""
     return F.coalesce(_count(text, SENTENCE), F.lit(0).cast("long"))
@@ -79,7 +92,10 @@ def tokens(text: Column, stop_words: Sequence[str] = ENGLISH, lowercase: bool =
 
 
 def ngrams(token_list: Column, low: int, high: int) -> Column:
-    """All n-grams for n in ``low..high``, joined with single spaces."""
+    """All n-grams for n in ``low..high``, joined with single spaces.
+
+    ``token_list`` should be a plain column: it is used several times over.
+    """
     if not 1 <= low <= high:
         raise ValueError("n-gram range must satisfy 1 <= low <= high.")
     parts = [_ngrams_of(token_list, n) for n in range(low, high + 1)]

@@ -21,11 +21,10 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuscope.functions import text as T
 from corpuscope.functions.stopwords import ENGLISH
 from corpuscope.operators.cleaning import KEY
 from corpuscope.operators.labels import class_weights
-from corpuscope.operators.terms import vocabulary
+from corpuscope.operators.terms import vocabulary, with_terms
 from corpuscope.staging import measured, stage
 
 INTERCEPT = ""  # no token is empty
@@ -64,11 +63,9 @@ class TextFeatures:
 
     def transform(self, df: DataFrame, keep: Sequence[str] = (), text: str = "text", key: str = KEY) -> DataFrame:
         """``(key, keep..., features)``; every row gets a vector, also without known terms."""
-        source = F.coalesce(F.col(text).cast("string"), F.lit(""))
-        found = T.ngrams(T.tokens(source, self.stop_words), *self.ngram_range)
-        rows = df.select(key, *keep, text).repartition(F.col(key)).select(
-            key, *keep, F.explode(F.concat(found, F.array(F.lit(INTERCEPT)))).alias("term")
-        )
+        placed = df.select(key, *keep, text).repartition(F.col(key))
+        found = with_terms(placed, text, [key, *keep], self.ngram_range, self.stop_words)
+        rows = found.select(key, *keep, F.explode(F.concat("terms", F.array(F.lit(INTERCEPT)))).alias("term"))
         counted = rows.join(F.broadcast(self.terms), "term").groupBy(key, *keep, "index", "idf").agg(
             F.count(F.lit(1)).cast("double").alias("tf")
         )
@@ -137,7 +134,7 @@ def fit_baseline(
     ngram_range: tuple[int, int] = (1, 2),
     c: float = 1.0,
     max_iter: int = 1000,
-    tol: float = 1e-6,
+    tol: float = 1e-4,
     parallelism: int = 4,
     stop_words: Sequence[str] = ENGLISH,
     text: str = "text",

@@ -31,7 +31,7 @@ def drop_empty(df: DataFrame, *columns: str) -> DataFrame:
 
 def min_words(df: DataFrame, least: int, text: str = TEXT) -> DataFrame:
     """Rows with at least ``least`` words."""
-    return df.where(T.word_count(F.col(text)) >= least)
+    return df.where(T.at_least_words(F.col(text), least))
 
 
 def text_digest(text: Column) -> Column:
@@ -53,26 +53,22 @@ def usable_rows(df: DataFrame, text: str = TEXT, label: str = LABEL, key: str =
     return drop_empty(stripped, text)
 
 
-def first_copies(df: DataFrame, text: str = TEXT, label: str = LABEL, key: str = KEY) -> DataFrame:
-    """Per distinct text the row with the smallest key: ``first`` = (key, label, words).
+def first_copies(
+    df: DataFrame, facts: dict[str, Column], text: str = TEXT, key: str = KEY
+) -> DataFrame:
+    """Per distinct text the row with the smallest key, as its key and the given facts.
 
-    Only keys, labels, counts and digests move, and copies of a text meet inside each
-    task before the shuffle, so a text that makes up a third of the rows costs no more
-    than any other.
+    Only keys, facts and digests move, and copies of a text meet inside each task before
+    the shuffle, so a text that makes up a third of the rows costs no more than any other.
     """
-    facts = df.select(
-        F.struct(
-            F.col(key), F.col(label), T.word_count(F.col(text)).alias("word_count")
-        ).alias("fact"),
-        text_digest(F.col(text)).alias("digest"),
-    )
-    return facts.groupBy("digest").agg(F.min_by("fact", F.col(f"fact.{key}")).alias("first"))
+    named = [F.col(key), *[fact.alias(name) for name, fact in facts.items()]]
+    narrow = df.select(F.struct(*named).alias("row"), text_digest(F.col(text)).alias("digest"))
+    return narrow.groupBy("digest").agg(F.min_by("row", F.col(f"row.{key}")).alias("first")).select("first.*")
 
 
-def drop_duplicate_texts(df: DataFrame, text: str = TEXT, label: str = LABEL, key: str = KEY) -> DataFrame:
+def drop_duplicate_texts(df: DataFrame, text: str = TEXT, key: str = KEY) -> DataFrame:
     """Keep, of equal texts, the row with the smallest key (keys must be unique)."""
-    kept = first_copies(df, text, label, key).select(F.col(f"first.{key}").alias(key))
-    return df.join(kept, key, "left_semi")
+    return df.join(first_copies(df, {}, text, key), key, "left_semi")
 
 
 def clean(
@@ -100,35 +96,29 @@ def clean(
     require_columns(df, {text, label, key})
     rows = usable_rows(df, text, label, key)
     if dedup:
-        kept = _first_long_enough(rows, min_class_samples, min_doc_length, text, label, key)
-        rows = rows.join(kept, key)
+        kept = _distinct_survivors(rows, min_class_samples, min_doc_length, text, label, key)
+        rows = rows.join(kept, key, "left_semi")
     else:
-        rows = rows.withColumn("word_count", T.word_count(F.col(text)))
-        rows = rows.where(F.col("word_count") >= min_doc_length)
-        rows = keep_frequent_labels(rows, label, min_class_samples)
-    columns = [key, text, label]
+        rows = keep_frequent_labels(min_words(rows, min_doc_length, text), label, min_class_samples)
     if counts:
-        rows = rows.withColumn("char_len", T.char_len(F.col(text)))
-        columns += ["word_count", "char_len"]
-    return rows.select(*columns)
+        rows = rows.withColumns({
+            "word_count": T.word_count(F.col(text)), "char_len": T.char_len(F.col(text)),
+        })
+    return rows
 
 
-def _first_long_enough(
+def _distinct_survivors(
     rows: DataFrame, min_class_samples: int, min_doc_length: int, text: str, label: str, key: str
 ) -> DataFrame:
-    """``(key, word_count)`` of the rows that survive dedup, length and label filters.
+    """Keys of the rows that survive dedup, length and label filters.
 
     Decided on narrow rows alone; the texts are shuffled once, by unique key, when the
     caller joins the survivors back.
     """
-    firsts = first_copies(rows, text, label, key).where(F.col("first.word_count") >= min_doc_length)
-    survivors = firsts.select(
-        F.col(f"first.{key}").alias(key),
-        F.col(f"first.{label}").alias(label),
-        F.col("first.word_count").alias("word_count"),
-    )
-    frequent = frequent_labels(survivors, label, min_class_samples)
-    return survivors.join(frequent, label, "left_semi").select(key, "word_count")
+    facts = {label: F.col(label), "long_enough": T.at_least_words(F.col(text), min_doc_length)}
+    firsts = first_copies(rows, facts, text, key).where("long_enough")
+    frequent = frequent_labels(firsts, label, min_class_samples)
+    return firsts.join(frequent, label, "left_semi").select(key)
 
 
 def clean_pair(df: DataFrame, min_class_samples: int = 50, min_doc_length: int = 20, **names: str) -> DataFrame:

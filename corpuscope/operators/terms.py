@@ -20,9 +20,22 @@ from corpuscope.operators.labels import keep_top_labels, label_counts, top_label
 SCORE_DIGITS = 10  # scores are ranked at this precision, so float noise breaks no tie
 
 
-def _terms(text: str, ngram_range: tuple[int, int], stop_words: Sequence[str]) -> Column:
+def with_terms(
+    df: DataFrame, text: str, keep: Sequence[str], ngram_range: tuple[int, int], stop_words: Sequence[str]
+) -> DataFrame:
+    """``(keep..., terms)``: each row's n-grams. Tokens are a column of their own first, so
+    that the n-grams, which use them several times, do not tokenise again."""
     source = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return T.ngrams(T.tokens(source, stop_words), *ngram_range)
+    tokenised = df.select(*keep, T.tokens(source, stop_words).alias("terms"))
+    if ngram_range == (1, 1):
+        return tokenised
+    return tokenised.select(*keep, T.ngrams(F.col("terms"), *ngram_range).alias("terms"))
+
+
+def unnest(df: DataFrame, keep: Sequence[str], items: Column, name: str = "term") -> DataFrame:
+    """One row per array item. The outer form plus a filter, since for the inner one Spark
+    adds a filter on the array's size below, and so builds every array twice."""
+    return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
 
 
 def term_stats(
@@ -37,12 +50,13 @@ def term_stats(
     A document's terms are sorted and each is paired with its predecessor, which marks
     the first of equal terms and gives both counts from one pass.
     """
-    ordered = df.select(*by, F.sort_array(_terms(text, ngram_range, stop_words)).alias("terms"))
-    ordered = ordered.where(F.size("terms") > 0)
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("terms", F.lit(1), F.size("terms") - 1))
+    found = with_terms(df, text, by, ngram_range, stop_words)
+    ordered = found.select(*by, F.sort_array("terms").alias("terms"))
+    rest = F.slice("terms", F.lit(1), F.greatest(F.size("terms") - 1, F.lit(0)))
+    before = F.concat(F.array(F.lit(None).cast("string")), rest)
     pairs = ordered.select(
         *by, F.explode(F.arrays_zip(F.col("terms").alias("term"), before.alias("before"))).alias("pair")
-    )
+    ).where(F.col("pair.term").isNotNull())
     repeated = F.col("pair.term").eqNullSafe(F.col("pair.before"))
     return pairs.groupBy(*by, F.col("pair.term").alias("term")).agg(
         F.count_if(~repeated).alias("df"), F.count(F.lit(1)).alias("total")
@@ -57,9 +71,8 @@ def document_terms(
     stop_words: Sequence[str] = ENGLISH,
 ) -> DataFrame:
     """``(key, term, tf)``. Whole texts move once, by key; the term rows then stay put."""
-    exploded = df.select(key, text).repartition(F.col(key)).select(
-        key, F.explode(_terms(text, ngram_range, stop_words)).alias("term")
-    )
+    found = with_terms(df.select(key, text).repartition(F.col(key)), text, [key], ngram_range, stop_words)
+    exploded = unnest(found, [key], F.col("terms"))
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -118,11 +131,11 @@ def weighted_terms(
     ``max_features`` rows. Texts are partitioned by key once; counting and the norm reuse
     that partitioning.
     """
-    found = df.select(key, *keep, text).repartition(F.col(key)).select(
-        key, *keep, F.explode(_terms(text, ngram_range, stop_words)).alias("term")
-    )
+    placed = df.select(key, *keep, text).repartition(F.col(key))
+    found = with_terms(placed, text, [key, *keep], ngram_range, stop_words)
+    exploded = unnest(found, [key, *keep], F.col("terms"))
     counted = (
-        found.join(F.broadcast(vocab.select("term", "idf")), "term")
+        exploded.join(F.broadcast(vocab.select("term", "idf")), "term")
         .groupBy(key, *keep, "term", "idf")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -229,7 +242,8 @@ def label_vocabularies(
 ) -> DataFrame:
     """``(label, term, df)`` of terms in at least ``min_docs`` documents of a large label."""
     rows = keep_top_labels(df, label, labels)
-    terms = rows.select(label, F.explode(F.array_distinct(_terms(text, (1, 1), stop_words))).alias("term"))
+    found = with_terms(rows, text, [label], (1, 1), stop_words)
+    terms = unnest(found, [label], F.array_distinct("terms"))
     return terms.groupBy(label, "term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs)
 
 
@@ -305,7 +319,8 @@ def cloud_weights(
 ) -> DataFrame:
     """``(label, rank, term, total, weight)``: a label's most frequent terms over its top count."""
     rows = keep_top_labels(df, label, labels)
-    terms = rows.select(label, F.explode(_terms(text, (1, 1), stop_words)).alias("term"))
+    found = with_terms(rows, text, [label], (1, 1), stop_words)
+    terms = unnest(found, [label], F.col("terms"))
     counted = terms.groupBy(label, "term").agg(F.count(F.lit(1)).alias("total"))
     most = F.max("total").over(Window.partitionBy(label))
     return _ranked(counted, label, "total", words).select(
@@ -316,9 +331,8 @@ def cloud_weights(
 def vocabulary_lookup(df: DataFrame, vocab: DataFrame, text: str = TEXT, key: str = KEY,
                       stop_words: Sequence[str] = ENGLISH) -> DataFrame:
     """``(key, n_known, n_distinct_known)``: a document's tokens that the vocabulary holds."""
-    tokens = df.select(key, text).repartition(F.col(key)).select(
-        key, F.explode(_terms(text, (1, 1), stop_words)).alias("term")
-    )
+    found = with_terms(df.select(key, text).repartition(F.col(key)), text, [key], (1, 1), stop_words)
+    tokens = unnest(found, [key], F.col("terms"))
     known = tokens.join(F.broadcast(vocab.select("term")), "term", "left_semi").groupBy(key, "term").agg(
         F.count(F.lit(1)).alias("n")
     )

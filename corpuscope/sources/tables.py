@@ -42,6 +42,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Partition ``df`` by key if its scan has fewer splits than the cluster has cores.
+
+    For small inputs in one file or row group, whose texts a single task would otherwise
+    work through. A large table has more splits than cores and passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(2 * cores, key)
+
+
 def ensure_table(df: DataFrame, path: str, force: bool = False) -> DataFrame:
     """Store ``df`` at ``path`` unless a table is there already (or ``force``); return the table."""
     df.write.mode("overwrite" if force else "ignore").parquet(path)
