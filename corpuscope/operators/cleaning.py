@@ -68,7 +68,7 @@ def first_copies(
 
 def drop_duplicate_texts(df: DataFrame, text: str = TEXT, key: str = KEY) -> DataFrame:
     """Keep, of equal texts, the row with the smallest key (keys must be unique)."""
-    return df.join(first_copies(df, {}, text, key), key, "left_semi")
+    return df.join(first_copies(df, {}, text, key), key, "left_semi").select(*df.columns)
 
 
 def clean(
@@ -100,6 +100,7 @@ def clean(
         rows = rows.join(kept, key, "left_semi")
     else:
         rows = keep_frequent_labels(min_words(rows, min_doc_length, text), label, min_class_samples)
+    rows = rows.select(key, text, label)
     if counts:
         rows = rows.withColumns({
             "word_count": T.word_count(F.col(text)), "char_len": T.char_len(F.col(text)),

@@ -102,7 +102,9 @@ def top_labels(df: DataFrame, label: str, top: int) -> DataFrame:
 
 def keep_top_labels(df: DataFrame, label: str, top: int) -> DataFrame:
     """Rows of the ``top`` largest labels. The broadcast side has at most ``top`` rows."""
-    return df.join(F.broadcast(top_labels(df, label, top).select(label)), label, "left_semi")
+    return df.join(F.broadcast(top_labels(df, label, top).select(label)), label, "left_semi").select(
+        *df.columns
+    )
 
 
 def frequent_labels(df: DataFrame, label: str, min_rows: int) -> DataFrame:
@@ -115,7 +117,8 @@ def keep_frequent_labels(df: DataFrame, label: str, min_rows: int) -> DataFrame:
 
     The list of labels is computed first, so its measured size picks the join.
     """
-    return df.join(measured(frequent_labels(df, label, min_rows)), label, "left_semi")
+    frequent = measured(frequent_labels(df, label, min_rows))
+    return df.join(frequent, label, "left_semi").select(*df.columns)
 
 
 def distinct_labels(df: DataFrame, label: str) -> DataFrame:
