@@ -28,7 +28,7 @@ def with_readability(df: DataFrame, text: str = "transcription") -> DataFrame:
     kept = df.columns
     counted = df.select(
         *kept,
-        F.when(T.word_count(source) >= MIN_WORDS, F.struct(
+        F.when(T.at_least_words(source, MIN_WORDS), F.struct(
             T.word_count(source).cast("double").alias("w"),
             F.greatest(T.sentence_count(source), F.lit(1)).cast("double").alias("s"),
             F.regexp_count(lowered, F.lit(T.VOWEL_GROUP)).cast("double").alias("groups"),

@@ -146,19 +146,18 @@ def fit_baseline(
     Balanced weights fall on the positive rows of each binary task; with two labels there
     is one task and both sides are weighted.
     """
-    weights = {row[label]: row.weight for row in class_weights(train, label).collect()}
-    labels = sorted(weights)
+    balance = {row[label]: row for row in class_weights(train, label).collect()}
+    labels, weights = sorted(balance), {name: row.weight for name, row in balance.items()}
     if len(labels) < 2:
         raise ValueError("The classifier needs at least two labels.")
     features = TextFeatures.fit(train, max_features, ngram_range, stop_words, text)
-    rows = stage(features.transform(train, [label], text, key), "features")
-    sizes = {row[label]: row["count"] for row in rows.groupBy(label).count().collect()}
-    total = sum(sizes.values())
+    rows = stage(features.transform(train.where(F.col(label).isNotNull()), [label], text, key), "features")
+    total = sum(row.n for row in balance.values())
 
     def fit(index: int):
         positive = labels[index]
         other = weights[labels[1 - index]] if len(labels) == 2 else 1.0
-        mass = sizes[positive] * weights[positive] + (total - sizes[positive]) * other
+        mass = balance[positive].n * weights[positive] + (total - balance[positive].n) * other
         is_label = F.col(label) == positive
         task = rows.select(
             "features", is_label.cast("double").alias("is_label"),

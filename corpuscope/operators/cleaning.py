@@ -19,7 +19,10 @@ def fill_missing(df: DataFrame, text: str = TEXT) -> DataFrame:
 
 
 def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Drop rows where any of the columns is NULL; the scan itself can apply this test."""
+    for name in columns:
+        df = df.where(F.col(name).isNotNull())
+    return df
 
 
 def drop_empty(df: DataFrame, *columns: str) -> DataFrame:
@@ -44,7 +47,7 @@ def usable_rows(df: DataFrame, text: str = TEXT, label: str = LABEL, key: str =
 
     An empty label stays: only the train-ready step drops it.
     """
-    present = df.select(key, text, label).dropna(subset=[text, label])
+    present = drop_missing(df.select(key, text, label), text, label)
     stripped = present.select(
         key,
         T.strip(F.col(text).cast("string")).alias(text),

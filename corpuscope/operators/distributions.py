@@ -2,7 +2,8 @@
 
 Everything but the row filter works on a frequency table ``(group, metric, value, n)``.
 It is built by one aggregation spread over all values, and is as long as the number of
-distinct values, not of documents; the exact quantiles then read that table alone.
+distinct values, not of documents; the exact quantiles then read that table alone. Where a
+result needs the table twice it is computed once and kept, so texts are measured once.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscope.functions.numeric import percent, round_even
+from corpuscope.staging import measured
 
 WHISKER = 1.5
 
@@ -69,9 +71,11 @@ def medians(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> Da
 
 def iqr_bounds(df: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles and the bounds 1.5 interquartile ranges outside them."""
-    quartiles = value_frequencies(df, [metric], by).groupBy(*by).agg(
-        _quantile(0.25).alias("q1"), _quantile(0.75).alias("q3")
-    )
+    return _bounds(value_frequencies(df, [metric], by), by)
+
+
+def _bounds(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    quartiles = frequencies.groupBy(*by).agg(_quantile(0.25).alias("q1"), _quantile(0.75).alias("q3"))
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     return quartiles.select(
         *by, "q1", "q3", (F.col("q1") - reach).alias("lower_bound"), (F.col("q3") + reach).alias("upper_bound")
@@ -91,7 +95,8 @@ def outlier_rows(df: DataFrame, metric: str) -> DataFrame:
 
 def outlier_summary(df: DataFrame, metric: str) -> DataFrame:
     """One row: bounds, number and percent of outliers, how many are short and long."""
-    counted = value_frequencies(df, [metric]).select("value", "n", _one_row(iqr_bounds(df, metric)).alias("b"))
+    frequencies = measured(value_frequencies(df, [metric]))
+    counted = frequencies.select("value", "n", _one_row(_bounds(frequencies)).alias("b"))
     short = F.col("value") < F.col("b.lower_bound")
     long = F.col("value") > F.col("b.upper_bound")
     totals = counted.agg(
@@ -113,7 +118,7 @@ def histogram(df: DataFrame, metrics: Sequence[str], bins: int = 50) -> DataFram
     Bins are closed on the left; the last also on the right. A constant column falls in
     the middle bin of a unit-wide range around its value.
     """
-    frequencies = value_frequencies(df, metrics)
+    frequencies = measured(value_frequencies(df, metrics))
     ends = frequencies.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     constant = F.col("low") == F.col("high")
     ends = ends.select(
@@ -143,7 +148,7 @@ def box_summary(df: DataFrame, metric: str, by: str) -> DataFrame:
 
     Whiskers reach no further in than the quartiles. Ordered by falling median.
     """
-    frequencies = value_frequencies(df.where(F.col(by).isNotNull()), [metric], [by])
+    frequencies = measured(value_frequencies(df.where(F.col(by).isNotNull()), [metric], [by]))
     quartiles = frequencies.groupBy(by).agg(
         _quantile(0.25).alias("q1"), _quantile(0.5).alias("median"), _quantile(0.75).alias("q3")
     )

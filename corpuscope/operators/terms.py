@@ -16,7 +16,9 @@ from corpuscope.functions.numeric import percent, round_even
 from corpuscope.functions.stopwords import CLOUD_EXTRA, ENGLISH
 from corpuscope.operators.cleaning import KEY, LABEL, TEXT
 from corpuscope.operators.labels import keep_top_labels, label_counts, top_labels
+from corpuscope.staging import stage
 
+SHORT_LIST = 1000
 SCORE_DIGITS = 10  # scores are ranked at this precision, so float noise breaks no tie
 
 
@@ -93,6 +95,20 @@ def prune(stats: DataFrame, documents: Column, min_df: int | float = 1, max_df:
 
 
 def most_frequent(stats: DataFrame, top: int) -> DataFrame:
+    """The ``top`` terms by total count, then name.
+
+    A short list is merged from each task's own best rows. For a long one that would send
+    ``top`` rows per task to a single task, so the terms are staged, the count that the last
+    of the top terms reaches is read off the frequencies of counts, and only terms at or
+    above it are sorted.
+    """
+    if top > SHORT_LIST:
+        stats = stage(stats, "terms")
+        totals = stats.groupBy("total").agg(F.count(F.lit(1)).alias("n"))
+        higher = Window.orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
+        above = F.coalesce(F.sum("n").over(higher), F.lit(0))
+        reached = totals.withColumn("_above", above).where(F.col("_above") < top)
+        stats = stats.where(F.col("total") >= reached.agg(F.min("total").alias("least")).scalar())
     return stats.orderBy(F.desc("total"), F.asc("term")).limit(top)
 
 

@@ -17,7 +17,7 @@ def document_facts(
     df: DataFrame, text: str = cleaning.TEXT, label: str = cleaning.LABEL, key: str = cleaning.KEY
 ) -> DataFrame:
     """Key, label, lengths and readability of each row with a text; no text column."""
-    present = df.select(key, label, text).dropna(subset=[text])
+    present = cleaning.drop_missing(df.select(key, label, text), text)
     return with_readability(with_text_stats(present, text), text).drop(text)
 
 
@@ -65,7 +65,7 @@ def profile(
     Missing values and duplicates describe the raw rows, all else the rows with a text.
     The per-document measures are staged once; term tables read the texts.
     """
-    present = df.dropna(subset=[text])
+    present = cleaning.drop_missing(df, text)
     facts = stage(document_facts(df, text, label, key), "facts")
     best = terms.top_tfidf_terms(present, text, label, key)
     return {

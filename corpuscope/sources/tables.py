@@ -46,7 +46,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Partition ``df`` by key if its scan has fewer splits than the cluster has cores.
 
     For small inputs in one file or row group, whose texts a single task would otherwise
-    work through. A large table has more splits than cores and passes unchanged.
+    work through. A large table has more splits than cores and passes unchanged. ``df`` should
+    be a plain scan: its splits are then known without running anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

@@ -87,6 +87,14 @@ def test_heat_map_fills_zeros(notes):
     assert grid["gait"]["A"] == 0.0 and grid["gait"]["B"] > 0
 
 
+@pytest.mark.parametrize("top", [1, 2, 3, 5, 6, 9])
+def test_long_lists_equal_short_ones(notes, monkeypatch, top):
+    stats = terms.term_stats(notes(DOCS))
+    direct = [tuple(r) for r in terms.most_frequent(stats, top).collect()]
+    monkeypatch.setattr(terms, "SHORT_LIST", 0)
+    assert [tuple(r) for r in terms.most_frequent(stats, top).collect()] == direct
+
+
 def test_top_lists_are_cut_before_the_shuffle(notes):
     plan = terms.top_tfidf_terms(notes(DOCS), min_df=1, max_df=1.0)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
