@@ -42,7 +42,9 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def usable_rows(df: DataFrame, text: str = TEXT, label: str = LABEL, key: str = KEY) -> DataFrame:
+def usable_rows(
+    df: DataFrame, text: str = TEXT, label: str = LABEL, key: str = KEY, keep_empty: bool = False
+) -> DataFrame:
     """``(key, text, label)`` as stripped strings, without missing or empty texts.
 
     An empty label stays: only the train-ready step drops it.
@@ -53,7 +55,7 @@ def usable_rows(df: DataFrame, text: str = TEXT, label: str = LABEL, key: str =
         T.strip(F.col(text).cast("string")).alias(text),
         T.strip(F.col(label).cast("string")).alias(label),
     )
-    return drop_empty(stripped, text)
+    return stripped if keep_empty else drop_empty(stripped, text)
 
 
 def first_copies(
@@ -82,14 +84,15 @@ def clean(
     dedup: bool = False,
     counts: bool = False,
     normalise: bool = True,
+    keep_empty: bool = False,
     text: str = TEXT,
     label: str = LABEL,
     key: str = KEY,
 ) -> DataFrame:
     """Normalise and filter raw notes. Steps, in this order:
 
-    column names, required columns, missing values, strip, empty texts, duplicates
-    (``dedup``), short texts, rare labels, length columns (``counts``).
+    column names (``normalise``), required columns, missing values, strip, empty texts
+    (unless ``keep_empty``), duplicates (``dedup``), short texts, rare labels, length columns (``counts``).
 
     ``key`` names a unique column that stands for the row order: of equal texts the
     smallest key wins.
@@ -97,7 +100,7 @@ def clean(
     if normalise:
         df = normalise_columns(df)
     require_columns(df, {text, label, key})
-    rows = usable_rows(df, text, label, key)
+    rows = usable_rows(df, text, label, key, keep_empty)
     if dedup:
         kept = _distinct_survivors(rows, min_class_samples, min_doc_length, text, label, key)
         rows = rows.join(kept, key, "left_semi")
@@ -133,9 +136,11 @@ def clean_pair(df: DataFrame, min_class_samples: int = 50, min_doc_length: int =
 def clean_pair_as_named(
     df: DataFrame, min_class_samples: int = 50, min_doc_length: int = 20, **names: str
 ) -> DataFrame:
-    """As :func:`clean_pair`, with the column names taken as they are."""
+    """As :func:`clean_pair`, with the column names taken as they are; only the minimum
+    length keeps empty texts out."""
     return clean(
-        df, min_class_samples=min_class_samples, min_doc_length=min_doc_length, normalise=False, **names
+        df, min_class_samples=min_class_samples, min_doc_length=min_doc_length,
+        normalise=False, keep_empty=True, **names,
     )
 
 

@@ -35,6 +35,13 @@ def test_missing_and_blank_cells(notes):
     assert row.transcription == "a b"
 
 
+def test_only_the_minimum_length_keeps_empty_texts_out_of_the_second_recipe(notes):
+    raw = notes([(1, "  ", "X"), (2, "a b", "X"), (3, None, "X")])
+    assert pairs(cleaning.clean_pair_as_named(raw, 1, 0)) == [(1, "X"), (2, "X")]
+    assert pairs(cleaning.clean_pair_as_named(raw, 1, 1)) == [(2, "X")]
+    assert pairs(cleaning.clean_pair(raw, 1, 0)) == [(2, "X")]
+
+
 def test_first_copy_wins_and_brings_its_label(notes):
     raw = notes([(7, "same text here", "Late"), (3, " same text here ", "Early"), (5, "other text here", "Early")])
     cleaned = cleaning.clean_distinct(raw, 1, 1)
