@@ -1,7 +1,8 @@
 """Benchmark decontamination with suffix arrays over shards of the training texts.
 
 Each task cuts its documents into shards of a bounded number of bytes. Words that no benchmark
-item holds become one sentinel, the rest numbers; prefix doubling sorts the suffixes of a shard.
+item holds become one sentinel, and so do runs of known words too short for any window; the rest become
+numbers, and prefix doubling sorts the suffixes of a shard.
 Every distinct window of the benchmark is found in it by binary search, and so is every test
 suffix for its longest verbatim match. A document lies whole in one shard, so nothing is shuffled.
 
@@ -190,6 +191,10 @@ class Shard:
             codes.append(0)
         self.starts = np.cumsum(self.n_words + 1) - self.n_words - 1
         self.codes = np.array(codes, dtype=np.int32)
+        # No window fits into a shorter run of known words: such words cannot be hit.
+        stops = np.flatnonzero(self.codes == 0)
+        runs = np.diff(stops, prepend=-1)
+        self.codes[np.repeat(runs <= index.depths.min(initial=len(codes)), runs)] = 0
         longest = int(index.left.max(initial=1))
         self.order = suffix_array(self.codes, longest)
 
