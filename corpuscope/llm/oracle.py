@@ -33,3 +33,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
 """
+
+ORACLE["op7_line_dedup"] = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+  SELECT r, doc_id, p, lines[p] AS line,
+         translate(trim(lines[p], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS k
+  FROM doc, unnest(range(1, len(lines) + 1)) AS u(p)
+), repeated AS (
+  SELECT k, min(doc_id) AS first FROM line WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (first IS NOT NULL AND doc_id <> first)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT (first IS NOT NULL AND doc_id <> first)), '')) AS kept_sha256
+FROM line LEFT JOIN repeated USING (k) GROUP BY r, doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscope.llm import decontamination
+from corpuscope.llm import decontamination, line_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +30,14 @@ def op6_decontamination(spark, sf):
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op7_line_dedup(spark, sf):
+    kept = line_dedup.dedup(table(spark, sf, "documents"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
