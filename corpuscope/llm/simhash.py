@@ -53,7 +53,7 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, count, 1 << 16):
         part = hashes[at:at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return sum(1 << k for k in np.flatnonzero(2 * ones > count).tolist())
 
 
