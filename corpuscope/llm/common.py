@@ -88,3 +88,11 @@ class Scratch:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def read_file(spark: SparkSession, path: str) -> bytes:
+    """Content of a small file (a vocabulary): on the driver's disk, or anywhere Spark reads."""
+    if "://" not in path:
+        with open(path, "rb") as file:
+            return file.read()
+    return bytes(spark.read.format("binaryFile").load(path).first().content)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from corpuscope.llm.licenses import NOTICES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE: dict[str, str] = {}
 
@@ -48,3 +50,50 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (first IS NOT NULL A
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT (first IS NOT NULL AND doc_id <> first)), '')) AS kept_sha256
 FROM line LEFT JOIN repeated USING (k) GROUP BY r, doc_id
 """
+
+_notices = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES.items())
+ORACLE["op5_licenses"] = rf"""
+WITH notice AS (
+  SELECT license, list_transform(regexp_extract_all(text, '[A-Za-z0-9]+'), lambda w: lower(w)) AS w
+  FROM (VALUES {_notices}) AS v(license, text)
+), wanted AS (
+  SELECT DISTINCT license, array_to_string(w[p:p + 4], ' ') AS s FROM notice, unnest(range(1, len(w) - 3)) AS u(p)
+), size AS (
+  SELECT license, count(*) AS n FROM wanted GROUP BY license
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_transform(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+'), lambda w: lower(w)) AS w
+  FROM documents
+), place AS (
+  SELECT r, doc_id, p - 1 AS p, array_to_string(w[p:p + 4], ' ') AS s FROM doc, unnest(range(1, len(w) - 3)) AS u(p)
+)
+SELECT doc_id, license, count(DISTINCT s)::BIGINT AS matched, round(count(DISTINCT s) / n, 4) AS containment,
+       min(p)::BIGINT AS first_word
+FROM place JOIN wanted USING (s) JOIN size USING (license) GROUP BY r, doc_id, license, n
+HAVING count(DISTINCT s) >= 0.8 * n
+"""
+
+ORACLE["op10_search"] = rf"""
+WITH word AS (
+  SELECT r, doc_id, unnest(w) AS w, len(w) AS n FROM (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+  )
+), total AS (
+  SELECT count(*) AS docs, (SELECT count(*) FROM word) / count(*) AS average FROM documents
+  WHERE text IS NOT NULL AND doc_id IS NOT NULL
+), tf AS (
+  SELECT r, doc_id, n, w, count(*) AS tf FROM word GROUP BY ALL
+), df AS (
+  SELECT w, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, total GROUP BY w, docs
+), asked AS (
+  SELECT DISTINCT doc_id AS query, w, tf AS times FROM tf WHERE doc_id % 20 = 0
+), scored AS (
+  SELECT query, r, tf.doc_id, round(sum(times * idf * (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / average)))), 6) AS score
+  FROM asked JOIN df USING (w) JOIN tf USING (w), total GROUP BY query, r, tf.doc_id
+), ranked AS (
+  SELECT query, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""

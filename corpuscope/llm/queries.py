@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscope.llm import decontamination, line_dedup, simhash
+from corpuscope.llm import (
+    decontamination, language, licenses, line_dedup, quality, search, secrets, sentencepiece, simhash,
+)
+from corpuscope.llm.common import read_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def query(fn: Query) -> Query:
@@ -41,3 +45,70 @@ def op7_line_dedup(spark, sf):
 @query
 def op9_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op4_language(spark, sf):
+    """``lang`` is what the metadata declares, ``source`` the host."""
+    docs = table(spark, sf, "documents")
+    return language.identify(
+        docs, language.fit(docs), text=F.col("text"), declared=F.col("lang"), host=F.col("source"),
+        keep={"doc_id": F.col("doc_id")},
+    )
+
+
+@query
+def language_of_pages(spark, sf):
+    """The same for raw pages: declared by the markup, with the address's host and suffix."""
+    pages = table(spark, sf, "pages")
+    return language.identify(
+        pages, language.fit(table(spark, sf, "documents")), text=language.visible_text(F.col("html")),
+        declared=language.declared_in(F.col("html")), host=language.host_of(F.col("url")),
+        keep={"page_id": F.col("page_id"), "url": F.col("url")},
+    )
+
+
+@query
+def op3_sentencepiece(spark, sf):
+    """Ids of every text, and whether they read back as the text."""
+    coded = sentencepiece.encode_table(table(spark, sf, "documents"), read_file(spark, PIECES), check=True)
+    return coded.select(
+        "row.doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.col("decoded").eqNullSafe(F.col("row.text")).alias("same"),
+    )
+
+
+@query
+def op2_secrets(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.Ledger(spark))
+    base = [r.kind for r in secrets.BASE_RULES]
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    old = F.filter("spans", lambda s: s.kind.isin(base))
+    counts = [
+        F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in base
+    ]
+    return found.select("row.doc_id", *counts, F.sha2(written(old), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+@query
+def op5_licenses(spark, sf):
+    return licenses.scan(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "row.doc_id", "license", "matched", "containment", "first_word"
+    )
+
+
+@query
+def op8_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "row.doc_id", quality.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= quality.CUT, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query
+def op10_search(spark, sf):
+    """Every document whose id is divisible by 20 asks, with its whole text, for its ten best among all documents."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return search.Index(docs).search(docs.filter("doc_id % 20 = 0"), 10)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import Scratch, as_bytes, packed
+from corpuscope.llm.common import Scratch, as_bytes, packed, unpacked
 from corpuscope.llm.components import connected_components
 
 SEED = 42
@@ -130,3 +130,15 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
+
+
+def representatives(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents, with all their columns, that name their component; rows with a NULL key stay.
+
+    The others are a narrow table of keys, and its size on disk decides how it is joined.
+    """
+    scratch = Scratch(documents.sparkSession, "representatives")
+    members = near_duplicates(documents, key=key, text=text, **options)
+    gone = scratch.keep(members.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    # Rows that repeat the key of a document that stays are that document.
+    return unpacked(packed(documents, key=F.col(key).cast("long")).join(gone, F.col("key") == F.col("gone"), "left_anti"))
