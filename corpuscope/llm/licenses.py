@@ -97,7 +97,10 @@ def shingles(words: Column) -> Column:
 
 def min_hashes(hashes: Column) -> Column:
     """MinHash values of a set, one for each mask: the order of h XOR mask is a random order of the hashes."""
-    return F.array(*[F.array_min(F.transform(hashes, lambda h, m=m: h.bitwiseXOR(F.lit(m)))) for m in MASKS])
+    def ordered_by(mask: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(mask))))
+
+    return F.array(*[ordered_by(mask) for mask in MASKS])
 
 
 def block_hashes(hashes: Column) -> Column:

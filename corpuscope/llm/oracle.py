@@ -97,3 +97,41 @@ WITH word AS (
 )
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+# Matches are marked with two control characters, so that their places follow from the lengths between the marks.
+_ASSIGN = (
+    """([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+    """[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+_RULES = [
+    ("assign", _ASSIGN, r"regexp_extract(m, '^.*?[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)$', 1)", 6),
+    ("access", "AKIA[A-Z0-9]+", "m", 20), ("hex", "[0-9a-f]+", "m", 24),
+    ("key_block", "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", "m", 0), ("forge", "gh[oprsu]_[A-Za-z0-9]{36,}", "m", 0),
+    ("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", "m", 0),
+]
+_found = " UNION ALL ".join(f"""
+  SELECT r, {k} AS o, '{kind}' AS kind, start, start + length(m) AS stop FROM (
+    SELECT r, split_part(s, chr(2), 1) AS m,
+           coalesce(sum(length(s) - CASE WHEN p > 1 THEN 1 ELSE 0 END) OVER (
+             PARTITION BY r ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, p
+    FROM (
+      SELECT r, parts[p] AS s, p FROM (
+        SELECT r, string_split(regexp_replace(text, '{pattern}', chr(1) || '\\0' || chr(2), 'g'), chr(1)) AS parts
+        FROM doc
+      ), unnest(range(1, len(parts) + 1)) AS u(p)
+    )
+  ) WHERE p > 1 AND length({value}) >= {least}""" for k, (kind, pattern, value, least) in enumerate(_RULES))
+ORACLE["op2_secrets"] = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), found AS ({_found}
+), listed AS (
+  SELECT r, count(*) FILTER (o = 0) AS a, count(*) FILTER (o = 1) AS k, count(*) FILTER (o = 2) AS h,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans
+  FROM found GROUP BY r
+)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN listed USING (r)
+"""

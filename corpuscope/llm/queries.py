@@ -84,9 +84,8 @@ def op2_secrets(spark, sf):
     base = [r.kind for r in secrets.BASE_RULES]
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
     old = F.filter("spans", lambda s: s.kind.isin(base))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in base
-    ]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in base]
     return found.select("row.doc_id", *counts, F.sha2(written(old), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
