@@ -198,8 +198,8 @@ def fit(
     source = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), F.col(declared).cast("long").alias("declared"))
     source = source.join(F.broadcast(chosen), F.col("doc") == F.col("labelled")).select("doc", "label", "text", "declared")
     rows = source.mapInArrow(run, "doc long, label int, index binary, value binary").collect()
-    rows.sort(key=lambda r: (r.doc, r.label, r.index, r.value))
-    return train([(np.frombuffer(r.index, "<i4"), np.frombuffer(r.value, "<f8"), r.label) for r in rows])
+    rows.sort(key=lambda r: (r["doc"], r["label"], r["index"], r["value"]))
+    return train([(np.frombuffer(r["index"], "<i4"), np.frombuffer(r["value"], "<f8"), r["label"]) for r in rows])
 
 
 def score(documents: DataFrame, machine: Machine, *, text: str = "text", declared: str = "n_chars") -> DataFrame:
