@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from corpuscope.llm import (
     decontamination, language, licenses, line_dedup, quality, search, secrets, sentencepiece, simhash,
+    training_order,
 )
-from corpuscope.llm.common import read_file
+from corpuscope.llm.common import Scratch, read_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def query(fn: Query) -> Query:
@@ -111,3 +113,20 @@ def op10_search(spark, sf):
     """Every document whose id is divisible by 20 asks, with its whole text, for its ten best among all documents."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return search.Index(docs).search(docs.filter("doc_id % 20 = 0"), 10)
+
+
+@query
+def op1_training_order(spark, sf):
+    """The shards of all texts, read back: each slot's sequence number, place, and ids."""
+    path = Scratch(spark, "shards").path
+    layout = training_order.write_shards(table(spark, sf, "documents"), path, read_file(spark, RANKS), key=20)
+
+    def numbered(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            number = training_order.permute(batch.column("slot").to_numpy(), layout.sequences, layout.key, inverse=True)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number)], names=[*batch.schema.names, "sequence"])
+
+    slots = training_order.read_slots(spark, path)
+    return slots.mapInArrow(numbered, "slot long, shard int, offset long, ids array<int>, sequence long")
