@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+import re
+
+import xxhash
+
+from corpuscope.llm import simhash as S
+from corpuscope.llm.common import Scratch
+from corpuscope.llm.components import connected_components
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_print(text):
+    w = re.findall("[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    shingles = [" ".join(w[k:k + 3]) for k in range(max(len(w) - 2, 1))] if w else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def roots(nodes, pairs):
+    up = {n: n for n in nodes}
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_fingerprints_and_components_against_all_pairs(documents, prose):
+    texts = prose(7, 80, (0, 50))
+    docs = [(k, t) for k, t in enumerate(texts)] + [(100 + k, t.replace("\t", " ", 1)) for k, t in enumerate(texts[:30])]
+    docs += [(200, texts[40] + " tail"), (201, None), (202, "")]
+    got = {r.doc_id: r for r in S.near_duplicates(documents(docs)).collect()}
+    prints = {k: brute_print(t) for k, t in docs}
+    assert {k: r.fingerprint for k, r in got.items()} == {k: f"{p:016x}" for k, p in prints.items()}
+    pairs = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert {k: r.component_id for k, r in got.items()} == roots(prints, pairs)
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_small_and_large_buckets_link_alike(spark):
+    rng = random.Random(5)
+    prints = set()
+    for _ in range(25):
+        base = rng.getrandbits(64)
+        prints.add(base)
+        for _ in range(12):  # chains of near prints
+            base ^= sum(1 << b for b in rng.sample(range(64), rng.randint(1, 3)))
+            prints.add(base)
+    prints = sorted(prints)
+    pairs = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 2]
+    want = {}
+    for n, r in roots(prints, pairs).items():
+        want.setdefault(r, set()).add(signed(n))
+    want = sorted(map(sorted, (g for g in want.values() if len(g) > 1)))
+    distinct = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    for bucket in (1, 3, 64):
+        scratch = Scratch(spark, "test")
+        links = S.links(distinct, scratch, bucket)
+        found = {(r.a, r.b) for r in links.collect()}
+        assert all(((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2 for a, b in found)
+        groups = {}
+        for r in connected_components(links, scratch).collect():
+            groups.setdefault(r.root, set()).add(r.node)
+        assert sorted(map(sorted, groups.values())) == want
+        scratch.drop()
+
+
+def test_components_of_long_chains(spark):
+    rng = random.Random(9)
+    names = rng.sample(range(1000), 60)
+    pairs = list(zip(names[:40], names[1:40])) + [(names[41], names[k]) for k in range(42, 60)]
+    scratch = Scratch(spark, "test")
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(pairs, "a long, b long"), scratch).collect()}
+    assert got == roots([n for p in pairs for n in p], pairs)
+    assert connected_components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
+    scratch.drop()
+
+
+def test_one_document_of_each_group_stays(documents):
+    text = "some words of a text that has copies in this table"
+    docs = documents([(5, text), (3, text), (9, "another text without any copy at all"), (None, text), (3, text)])
+    left = S.representatives(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 3, 3, 9]
+
+
+def test_odd_and_empty_tables(odd, none):
+    rows = S.near_duplicates(odd).collect()
+    assert len(rows) == 9
+    zero = {r.doc_id: r.component_id for r in rows if r.fingerprint == "0" * 16}
+    assert zero == {1: 1, 2: 1, 3: 1}
+    assert [r.component_id for r in rows if r.doc_id is None] == [None]
+    assert S.near_duplicates(none).count() == 0
+
+
+def test_distances_on_the_ring():
+    # Any two prints at distance two or less share seven equal segments that start somewhere on the ring.
+    rng = random.Random(3)
+    for _ in range(300):
+        differ = sum(1 << b for b in rng.sample(range(64), rng.randint(0, 2)))
+        segments = [(differ >> 4 * k) & 15 for k in range(16)]
+        assert any(all(segments[(s + k) % 16] == 0 for k in range(7)) and sum(x.bit_count() for x in (segments * 2)[s:s + 15]) <= 1 for s in range(16))
