@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -70,7 +71,8 @@ def main(argv: list[str]) -> int:
     names = argv[1:] or list(QUERIES)
     spark = tuned(
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(sf_dir), 0

@@ -56,6 +56,10 @@ untidy AS (
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
+UNEVEN = """uneven AS (
+  SELECT doc_id, lang || '-' || floor(sqrt(substr(source, 4)::INTEGER))::INTEGER AS source FROM documents)"""
+
+
 def usable(source: str, name: str = "usable") -> str:
     return f"""
 {name} AS (
@@ -261,9 +265,10 @@ FROM (SELECT doc_id, {tokens("text")} AS t FROM documents)""",
 SELECT doc_id, {strip("lang")} AS lang FROM untidy WHERE {strip("text")} <> '' AND {strip("lang")} <> ''""",
     "usable_rows": f"WITH {UNTIDY},{usable('untidy')} SELECT * FROM usable",
     "min_words": f"SELECT doc_id, lang, n_chars FROM documents WHERE {words('text')} >= 20",
-    "rare_label_filter": """SELECT doc_id, source FROM documents
-WHERE source IN (SELECT source FROM documents GROUP BY source HAVING count(*) >= 50)""",
-    "top_label_rows": f"SELECT doc_id, source FROM documents WHERE source IN ({largest('source', 10)})",
+    "rare_label_filter": f"""WITH {UNEVEN} SELECT doc_id, source FROM uneven
+WHERE source IN (SELECT source FROM uneven GROUP BY source HAVING count(*) >= 20)""",
+    "top_label_rows": f"""WITH {UNEVEN} SELECT doc_id, source FROM uneven WHERE source IN (
+  SELECT source FROM uneven GROUP BY source ORDER BY count(*) DESC, source LIMIT 10)""",
     "outlier_rows": f"""WITH {OUTLIER_BOUNDS}
 SELECT doc_id, lang, word_count FROM measured, b WHERE word_count < lower_bound OR word_count > upper_bound""",
     "exact_dedup": """SELECT doc_id, text, lang FROM documents
@@ -289,10 +294,10 @@ SELECT count(*) AS n_rows, count(*) FILTER (copy > 1) AS duplicate_rows,
   'doc_id,text,lang,source,n_chars' AS column_names FROM documents""",
     "label_frequency": f"WITH {UNTIDY} {frequency('untidy', 'lang')}",
     "clean_label_frequency": f"WITH {CLEAN} {frequency('cleaned', 'lang')}",
-    "pareto": f"""SELECT source, n, position, {rnd("share", 8)} AS cumulative_pct, share >= 80 AS reaches_cut FROM (
+    "pareto": f"""WITH {UNEVEN} SELECT source, n, position, {rnd("share", 8)} AS cumulative_pct, share >= 80 AS reaches_cut FROM (
   SELECT source, n, row_number() OVER (ORDER BY n DESC, source) AS position,
     sum(n) OVER (ORDER BY n DESC, source ROWS UNBOUNDED PRECEDING) / (sum(n) OVER ())::DOUBLE * 100.0 AS share
-  FROM (SELECT source, count(*) AS n FROM documents GROUP BY source))""",
+  FROM (SELECT source, count(*) AS n FROM uneven GROUP BY source))""",
     "imbalance": f"""WITH {UNTIDY},
 c AS (SELECT lang, count(*) AS n FROM untidy WHERE lang IS NOT NULL GROUP BY lang),
 o AS (SELECT *, row_number() OVER (ORDER BY n DESC, lang) AS pos, count(*) OVER () AS k, sum(n) OVER () AS total FROM c),
@@ -301,16 +306,14 @@ SELECT top.k AS n_classes, top.lang AS majority_label, top.n AS majority_n,
   {rnd("top.n / top.total::DOUBLE * 100.0", 2)} AS majority_pct, low.lang AS minority_label, low.n AS minority_n,
   {rnd("low.n / low.total::DOUBLE * 100.0", 2)} AS minority_pct, {rnd("top.n / low.n::DOUBLE", 8)} AS imbalance_ratio,
   {rnd("(SELECT count(*) FROM untidy) / top.k::DOUBLE", 8)} AS rows_per_class,
-  CASE WHEN top.n < 5 * low.n THEN 'standard training, per-class metrics'
-       WHEN top.n <= 20 * low.n THEN 'class weights, stratified splits'
-       ELSE 'resampling, class merging or a hierarchy' END AS strategy
+  CASE WHEN top.n < 5 * low.n THEN 'low' WHEN top.n <= 20 * low.n THEN 'medium' ELSE 'high' END AS band
 FROM top, low""",
-    "thin_labels": "SELECT source, count(*) AS n FROM documents GROUP BY source HAVING count(*) < 50",
-    "thin_label_totals": """SELECT count(*) FILTER (n < 50) AS labels_below_50, count(*) FILTER (n < 100) AS labels_below_100
-FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)""",
-    "top_share": f"""SELECT {rnd("sum(pct)", 2)} AS top_share_pct FROM (
-  SELECT pct FROM ({frequency("documents", "source")}) ORDER BY n DESC, source LIMIT 5)""",
-    "top_labels": "SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 6",
+    "thin_labels": f"WITH {UNEVEN} SELECT source, count(*) AS n FROM uneven GROUP BY source HAVING count(*) < 50",
+    "thin_label_totals": f"""WITH {UNEVEN} SELECT count(*) FILTER (n < 50) AS labels_below_50, count(*) FILTER (n < 100) AS labels_below_100
+FROM (SELECT source, count(*) AS n FROM uneven GROUP BY source)""",
+    "top_share": f"""WITH {UNEVEN} SELECT {rnd("sum(pct)", 2)} AS top_share_pct FROM (
+  SELECT pct FROM ({frequency("uneven", "source")}) ORDER BY n DESC, source LIMIT 5)""",
+    "top_labels": f"WITH {UNEVEN} SELECT source, count(*) AS n FROM uneven GROUP BY source ORDER BY n DESC, source LIMIT 6",
     "distinct_labels": f"WITH {UNTIDY} SELECT count(DISTINCT lang) AS n_labels FROM untidy",
     "describe_lengths": f"""WITH {MEASURED}
 {described("measured", ("word_count", "char_len", "sentence_count", "avg_word_len"), 1)}""",
@@ -363,9 +366,9 @@ SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY doc_id, term""",
   {", ".join(f"coalesce(max(tfidf_score) FILTER (lang = '{name}'), 0.0) AS {name}" for name in ("de", "en", "es", "fr"))}
 FROM best WHERE rank <= 10 GROUP BY term""",
     "sublinear_tfidf": f"""WITH {READY},
-train AS (SELECT * FROM assigned WHERE split = 'train'), held AS (SELECT * FROM assigned WHERE split = 'val'),
+train AS (SELECT * FROM assigned WHERE split = 'train'),
 {vocab_ctes("train", f"list_concat(t, {grams(2)})", top=20_000)},
-htok AS (SELECT doc_id, {tokens("text")} AS t FROM held),
+htok AS (SELECT doc_id, {tokens("text")} AS t FROM assigned),
 hocc AS (SELECT doc_id, unnest(list_concat(t, {grams(2)})) AS term FROM htok),
 htf AS (SELECT doc_id, term, count(*) AS tf FROM hocc GROUP BY doc_id, term),
 raw AS (SELECT doc_id, term, tf, (1.0::DOUBLE + ln(tf)) * idf AS x FROM htf JOIN vocab USING (term))
@@ -398,10 +401,10 @@ u AS (
   LEFT JOIN sz a ON a.label = p.label_a LEFT JOIN sz b ON b.label = p.label_b)
 SELECT *, CASE WHEN n_union > 0 THEN {rnd("n_shared / n_union::DOUBLE", 3)} ELSE 0.0 END AS jaccard FROM u""",
     "exclusive_terms": f"""WITH {label_vocab('lang')},
-k AS (SELECT term, count(*) AS k FROM lv GROUP BY term)
-SELECT label AS lang, count(*) AS n_terms, count(*) FILTER (k = 1) AS n_unique,
-  {rnd("count(*) FILTER (k = 1) / count(*)::DOUBLE * 100.0", 1)} AS unique_pct,
-  (SELECT count(*) FROM k) AS n_all FROM lv JOIN k USING (term) GROUP BY label""",
+k AS (SELECT term, count(*) AS k FROM lv GROUP BY term),
+s AS (SELECT label, count(*) AS n, count(*) FILTER (k = 1) AS u FROM lv JOIN k USING (term) GROUP BY label)
+SELECT lang, coalesce(n, 0) AS n_terms, coalesce(u, 0) AS n_unique, coalesce({rnd("u / n::DOUBLE * 100.0", 1)}, 0.0) AS unique_pct,
+  (SELECT count(*) FROM k) AS n_all FROM ({largest('lang', 10)}) LEFT JOIN s ON s.label = lang""",
     "cloud_weights": f"""WITH
 {stats_ctes("documents", "t", "lang", (*ENGLISH, *CLOUD_EXTRA))}
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY total DESC, term) AS rank, term, total,
@@ -440,3 +443,20 @@ UNION ALL SELECT 'weighted avg', {rnd("sum(p * support) / sum(support)", 8)}, {r
     "prepared_splits": f"""WITH {clean_ctes("documents", False)},{split_ctes("cleaned", "lang")}
 SELECT text, lang, split FROM assigned""",
 }
+
+ORACLE["linear_scores"] = f"""WITH {READY},
+train AS (SELECT * FROM assigned WHERE split = 'train'),
+{vocab_ctes("train", f"list_concat(t, {grams(2)})", top=5000)},
+htok AS (SELECT doc_id, {tokens("text")} AS t FROM assigned),
+hocc AS (SELECT doc_id, unnest(list_concat(t, {grams(2)})) AS term FROM htok),
+htf AS (SELECT doc_id, term, count(*) AS tf FROM hocc GROUP BY doc_id, term),
+raw AS (SELECT doc_id, term, (1.0::DOUBLE + ln(tf)) * idf AS x FROM htf JOIN vocab USING (term)),
+m AS (SELECT doc_id, {", ".join(f"sum(x * ((length(term) * {i + 2} % 7) - 3) * 0.1) / sqrt(sum(x * x)) AS m{i}" for i in range(3))}
+  FROM raw GROUP BY doc_id)
+SELECT doc_id, lang AS label, {", ".join(rnd(f"coalesce(m{i}, 0) - 0.3::DOUBLE", 7) + f" AS margin_{i}" for i in range(3))}
+FROM assigned LEFT JOIN m USING (doc_id)"""
+ORACLE |= {
+    "stored_clean": ORACLE["clean_distinct"], "stored_train_ready": ORACLE["train_ready"], "stored_metrics": ORACLE["metrics_record"],
+    "splits_from_csv": ORACLE["prepared_splits"], "profile_top_terms": ORACLE["tfidf_top_terms"],
+    "profile_exclusive_terms": ORACLE["exclusive_terms"], "profile_cloud_weights": ORACLE["cloud_weights"],
+}

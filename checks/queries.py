@@ -19,7 +19,7 @@ from corpuscope.functions.readability import SCORES, with_readability, with_text
 from corpuscope.operators import (
     classifier, cleaning, distributions, labels, metrics, quality, schema, splitting, terms,
 )
-from corpuscope.plans import prepare, profile
+from corpuscope.plans import prepare, profile, train
 from corpuscope.sources import tables
 from corpuscope.staging import shared_folder, stage
 
@@ -41,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,12 @@ def untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", text.alias("text"), label.alias("lang"))
 
 
+def uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, source)`` with labels of very different size, made of the language and the root of the source's number."""
+    number = F.floor(F.sqrt(F.substring("source", 4, 9).cast("int"))).cast("int")
+    return documents(spark, sf_dir).select("doc_id", F.concat_ws("-", "lang", number.cast("string")).alias("source"))
+
+
 def clean_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_distinct(documents(spark, sf_dir), **NOTES)
 
@@ -176,12 +182,12 @@ def min_words(spark, sf):
 
 @query
 def rare_label_filter(spark, sf):
-    return labels.keep_frequent_labels(documents(spark, sf).select("doc_id", "source"), "source", 50)
+    return labels.keep_frequent_labels(uneven(spark, sf), "source", 20)
 
 
 @query
 def top_label_rows(spark, sf):
-    return labels.keep_top_labels(documents(spark, sf).select("doc_id", "source"), "source", 10)
+    return labels.keep_top_labels(uneven(spark, sf), "source", 10)
 
 
 @query
@@ -257,7 +263,7 @@ def clean_label_frequency(spark, sf):
 
 @query
 def pareto(spark, sf):
-    return labels.pareto(documents(spark, sf), "source").withColumn("cumulative_pct", round_even(F.col("cumulative_pct"), 8))
+    return labels.pareto(uneven(spark, sf), "source").withColumn("cumulative_pct", round_even(F.col("cumulative_pct"), 8))
 
 
 @query
@@ -268,22 +274,22 @@ def imbalance(spark, sf):
 
 @query
 def thin_labels(spark, sf):
-    return labels.thin_labels(documents(spark, sf), "source", 50)
+    return labels.thin_labels(uneven(spark, sf), "source", 50)
 
 
 @query
 def thin_label_totals(spark, sf):
-    return labels.thin_label_totals(documents(spark, sf), "source")
+    return labels.thin_label_totals(uneven(spark, sf), "source")
 
 
 @query
 def top_share(spark, sf):
-    return labels.top_share(documents(spark, sf), "source", 5)
+    return labels.top_share(uneven(spark, sf), "source", 5)
 
 
 @query
 def top_labels(spark, sf):
-    return labels.top_labels(documents(spark, sf), "source", 6)
+    return labels.top_labels(uneven(spark, sf), "source", 6)
 
 
 @query
@@ -381,10 +387,10 @@ def tfidf_heatmap(spark, sf):
 
 @query
 def sublinear_tfidf(spark, sf):
+    """Fitted on the train rows; all rows are weighted."""
     ready = train_ready_notes(spark, sf)
-    train, held_out = splitting.select_split(ready, "train"), splitting.select_split(ready, "val")
-    vocab = terms.vocabulary(train, "text", (1, 2), max_features=20_000)
-    found = terms.weighted_terms(held_out, vocab, "text", ngram_range=(1, 2), sublinear=True)
+    vocab = terms.vocabulary(splitting.select_split(ready, "train"), "text", (1, 2), max_features=20_000)
+    found = terms.weighted_terms(ready, vocab, "text", ngram_range=(1, 2), sublinear=True)
     return found.withColumn("weight", round_even(F.col("weight"), 8))
 
 
@@ -550,21 +556,92 @@ def baseline_predictions(spark, sf):
 
 @query
 def baseline_report(spark, sf):
-    model, ready = _baseline(spark, sf)
-    return metrics.classification_report(metrics.confusion(model.predict(splitting.select_split(ready, "val"), ["label"])))
+    """The training job from end to end."""
+    root = f"{shared_folder(spark)}/corpuscope/baseline-{uuid.uuid4().hex}"
+    return train.train_baseline(stage(train_ready_notes(spark, sf), "train_ready"), f"{root}/model", f"{root}/metrics").report
+
+
+@query
+def linear_scores(spark, sf):
+    """Scores of a stored model with made-up coefficients, so that SQL can give them: three labels, sub-linear terms."""
+    ready = stage(train_ready_notes(spark, sf), "train_ready")
+    features = classifier.TextFeatures.fit(splitting.select_split(ready, "train"), 5000, (1, 2))
+    weights = F.array(*[((F.length("term") * (i + 2) % 7) - 3) * 0.1 for i in range(3)])
+    model = classifier.BaselineModel(features, ["a", "b", "c"], features.terms.withColumn("weights", weights))
+    path = f"{shared_folder(spark)}/corpuscope/model-{uuid.uuid4().hex}"
+    model.save(path)
+    found = classifier.load_model(spark, path).margins(ready, ["label"])
+    return found.select("doc_id", "label", *[round_even(F.col("margins")[i], 7).alias(f"margin_{i}") for i in range(3)])
 
 
-# --- whole jobs ------------------------------------------------------------------------
+# --- whole jobs and what they store -----------------------------------------------------
 
 
 @query
-def prepared_splits(spark, sf):
-    root = f"{shared_folder(spark)}/corpuscope/prepared-{uuid.uuid4().hex}"
-    folders = prepare.prepare_splits(documents(spark, sf), f"{root}/raw", f"{root}/splits", **NOTES)
-    schema_ = "text string, lang string"
+def stored_clean(spark, sf):
+    path = f"{shared_folder(spark)}/corpuscope/clean-{uuid.uuid4().hex}"
+    tables.write_clean(clean_notes(spark, sf), path, "lang")
+    return tables.read_table(spark, path)
+
+
+@query
+def stored_train_ready(spark, sf):
+    root = f"{shared_folder(spark)}/corpuscope/ready-{uuid.uuid4().hex}"
+    return prepare.prepare_train_ready(documents(spark, sf), f"{root}/clean", f"{root}/ready", **NOTES)
+
+
+@query
+def stored_metrics(spark, sf):
+    path = f"{shared_folder(spark)}/corpuscope/metrics-{uuid.uuid4().hex}"
+    tables.write_metrics(metrics.metrics_record(guessed(spark, sf)), path)
+    found = spark.read.schema("macro_f1 double, labels array<string>, validation_rows long").json(path)
+    return found.select(round_even(F.col("macro_f1"), 8).alias("macro_f1"), F.concat_ws(",", "labels").alias("labels"), "validation_rows")
+
+
+@query
+def splits_from_csv(spark, sf):
+    """The documents as a raw CSV file, prepared from there."""
+    root = f"{shared_folder(spark)}/corpuscope/csv-{uuid.uuid4().hex}"
+    filler = [F.lit("d").alias(name) for name in ("description", "sample_name", "keywords")]
+    raw = documents(spark, sf).select(
+        F.col("lang").alias("medical_specialty"), F.col("doc_id").alias("Unnamed: 0"), F.col("text").alias("transcription"), *filler
+    )
+    raw.write.csv(f"{root}/notes", header=True, quote='"', escape='"')
+    folders = prepare.prepare_csv(spark, f"{root}/notes", f"{root}/raw", f"{root}/splits")
+    return read_splits(spark, folders, "transcription string, medical_specialty string").withColumnsRenamed(
+        {"transcription": "text", "medical_specialty": "lang"}
+    )
+
+
+def read_splits(spark: SparkSession, folders: dict[str, str], columns: str) -> DataFrame:
     parts = [
-        spark.read.schema(schema_).csv(folder, header=True, multiLine=True, quote='"', escape='"').withColumn(
-            "split", F.lit(name))
+        spark.read.schema(columns).csv(folder, header=True, multiLine=True, quote='"', escape='"').withColumn("split", F.lit(name))
         for name, folder in folders.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def profile_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return profile.profile(documents(spark, sf_dir), **NOTES)
+
+
+@query
+def profile_top_terms(spark, sf):
+    return profile_tables(spark, sf)["top_terms"]
+
+
+@query
+def profile_exclusive_terms(spark, sf):
+    return profile_tables(spark, sf)["exclusive_terms"]
+
+
+@query
+def profile_cloud_weights(spark, sf):
+    return profile_tables(spark, sf)["cloud_weights"].withColumn("weight", round_even(F.col("weight"), 8))
+
+
+@query
+def prepared_splits(spark, sf):
+    root = f"{shared_folder(spark)}/corpuscope/prepared-{uuid.uuid4().hex}"
+    folders = prepare.prepare_splits(documents(spark, sf), f"{root}/raw", f"{root}/splits", **NOTES)
+    return read_splits(spark, folders, "text string, lang string")

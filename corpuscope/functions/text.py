@@ -20,8 +20,6 @@ WORD = rf"[^{SPACE}]+"
 SENTENCE = rf"[^{SPACE}.!?][^.!?]*"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
-LONGEST_WORD_PATTERN = 200  # the pattern nests once per word; longer ones are counted
-
 # Every whitespace code point, the members of SPACE.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -57,12 +55,11 @@ def word_count(text: Column) -> Column:
 
 
 def at_least_words(text: Column, least: int) -> Column:
-    """Whether the text has ``least`` words or more; reads no further than that many words."""
+    """Whether the text has ``least`` words or more; splits off no more than that many words."""
     if least <= 0:
         return text.isNotNull()
-    if least > LONGEST_WORD_PATTERN:
-        return word_count(text) >= least
-    return text.rlike(rf"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{{least - 1}}}[^{SPACE}]")
+    word = F.get(F.split(strip(text), f"[{SPACE}]+", least), F.lit(least - 1))
+    return F.coalesce(F.length(word) > 0, F.lit(False))
 
 
 def sentence_count(text: Column) -> Column:

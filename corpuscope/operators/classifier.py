@@ -6,6 +6,9 @@ penalty. Two details carry it over to Spark's estimator:
 * the intercept is a feature of constant value 1, and ``fitIntercept`` is off;
 * Spark drops columns of zero variance, so one all-zero row joins the training data. Its
   loss is ln 2 whatever the coefficients, so the optimum stays where it was.
+
+Terms are counted in the row, and vectors are built as native structs that are staged and read back as
+vectors. Prediction needs no vector: it joins terms with their coefficients and sums per document.
 """
 
 from __future__ import annotations
@@ -14,35 +17,25 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from corpuscope.functions.stopwords import ENGLISH
 from corpuscope.operators.cleaning import KEY
 from corpuscope.operators.labels import class_weights
-from corpuscope.operators.terms import vocabulary, with_terms
-from corpuscope.staging import measured, stage
+from corpuscope.operators.terms import counted_terms, vocabulary
+from corpuscope.staging import measured, staged_path
 
 INTERCEPT = ""  # no token is empty
-
-
-def sparse_vector(size: int):
-    """Column function: sorted index and value arrays to a vector, in Arrow batches."""
-
-    @F.udf(VectorUDT(), useArrow=True)
-    def build(indices, values):
-        return SparseVector(size, indices, values)
-
-    return build
+VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"  # how a vector is stored
 
 
 @dataclass(frozen=True)
 class TextFeatures:
-    """A fitted vocabulary: ``(term, idf, index)``, at most ``max_features`` rows and the intercept."""
+    """A fitted vocabulary: ``(term, idf, index)``, at most ``max_features`` rows and the intercept, which is last."""
 
     terms: DataFrame
     size: int
@@ -54,77 +47,95 @@ class TextFeatures:
         cls, train: DataFrame, max_features: int = 20_000, ngram_range: tuple[int, int] = (1, 2),
         stop_words: Sequence[str] = ENGLISH, text: str = "text",
     ) -> TextFeatures:
+        """Runs the job that counts the vocabulary."""
         vocab = vocabulary(train, text, ngram_range, max_features=max_features, stop_words=stop_words)
         by_term = F.row_number().over(Window.orderBy("term")) - 1  # a window over max_features rows
         terms = measured(vocab.select("term", "idf", by_term.alias("index")))
         size = terms.count()
         intercept = train.sparkSession.createDataFrame([(INTERCEPT, 1.0, size)], terms.schema)
-        return cls(terms.unionByName(intercept), size + 1, tuple(ngram_range), tuple(stop_words))
+        return cls(measured(terms.unionByName(intercept)), size + 1, tuple(ngram_range), tuple(stop_words))
+
+    def values(self, df: DataFrame, terms: DataFrame, keep: Sequence[str], text: str, key: str) -> DataFrame:
+        """``(key, keep..., index, value, columns of terms...)`` of each row's known terms, and of the intercept;
+        values are not yet divided by the row's norm."""
+        counted = counted_terms(df.select(key, *keep, text), text, [key, *keep], self.ngram_range, self.stop_words, (INTERCEPT,))
+        known = counted.join(terms, "term")
+        return known.withColumn("value", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
 
     def transform(self, df: DataFrame, keep: Sequence[str] = (), text: str = "text", key: str = KEY) -> DataFrame:
-        """``(key, keep..., features)``; every row gets a vector, also without known terms."""
-        placed = df.select(key, *keep, text).repartition(F.col(key))
-        found = with_terms(placed, text, [key, *keep], self.ngram_range, self.stop_words)
-        rows = found.select(key, *keep, F.explode(F.concat("terms", F.array(F.lit(INTERCEPT)))).alias("term"))
-        counted = rows.join(F.broadcast(self.terms), "term").groupBy(key, *keep, "index", "idf").agg(
-            F.count(F.lit(1)).cast("double").alias("tf")
-        )
+        """``(key, keep..., features)`` with the vector as a struct; every row gets one, also without known terms."""
         is_term = F.col("index") < self.size - 1
-        raw = counted.withColumn("value", (1.0 + F.log("tf")) * F.col("idf"))
-        packed = raw.groupBy(key, *keep).agg(
+        folded = self.values(df, self.terms, keep, text, key).groupBy(key, *keep).agg(
             F.sort_array(F.collect_list(F.struct("index", "value"))).alias("cells"),
             F.sqrt(F.sum(F.when(is_term, F.col("value") * F.col("value")))).alias("norm"),
         )
         values = F.transform(
             "cells", lambda c: F.when(c["index"] == self.size - 1, F.lit(1.0)).otherwise(c["value"] / F.col("norm"))
         )
-        build = sparse_vector(self.size)
-        return packed.select(key, *keep, build(F.col("cells.index"), values).alias("features"))
+        return folded.select(key, *keep, vector(self.size, F.col("cells.index"), values).alias("features"))
+
+
+def vector(size: int, indices, values):
+    """A sparse vector's stored form."""
+    return F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")
+    ).cast(VECTOR)
 
 
 @dataclass(frozen=True)
 class BaselineModel:
+    """Vocabulary, labels in order, and ``(term, idf, index, weights)``: a term's coefficient for each binary model."""
+
     features: TextFeatures
     labels: list[str]
-    linear: PipelineModel
-
-    def score_columns(self) -> list[Column]:
-        """Decision value per label; of two labels only the second has a model of its own."""
-        margin = [vector_to_array(F.col(f"margin_{i}"))[1] for i in range(len(self.linear.stages))]
-        return [-margin[0], margin[0]] if len(self.labels) == 2 else margin
+    coefficients: DataFrame
+
+    def margins(self, df: DataFrame, keep: Sequence[str] = (), text: str = "text", key: str = KEY) -> DataFrame:
+        """``(key, keep..., margins)``: decision value per label; of two labels only the second has a model of its own."""
+        models = 1 if len(self.labels) == 2 else len(self.labels)
+        is_term = F.col("index") < self.features.size - 1
+        value, term_value = F.col("value"), F.when(is_term, F.col("value")).otherwise(0.0)
+        sums = self.features.values(df, self.coefficients, keep, text, key).groupBy(key, *keep).agg(
+            F.sqrt(F.sum(term_value * term_value)).alias("norm"),
+            *[F.sum(term_value * F.col("weights")[i]).alias(f"terms_{i}") for i in range(models)],
+            *[F.sum(F.when(~is_term, value * F.col("weights")[i])).alias(f"constant_{i}") for i in range(models)],
+        )
+        scaled = [
+            F.col(f"constant_{i}") + F.when(F.col("norm") > 0, F.col(f"terms_{i}") / F.col("norm")).otherwise(0.0)
+            for i in range(models)
+        ]
+        return sums.select(key, *keep, F.array(*([-scaled[0], scaled[0]] if models == 1 else scaled)).alias("margins"))
 
     def predict(self, df: DataFrame, keep: Sequence[str] = (), text: str = "text", key: str = KEY) -> DataFrame:
         """``(key, keep..., prediction)``; equal scores go to the first label."""
-        scored = self.linear.transform(self.features.transform(df, keep, text, key))
-        ranked = F.array_max(F.array(*[
-            F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(label).alias("label"))
-            for i, (label, score) in enumerate(zip(self.labels, self.score_columns()))
-        ]))
-        return scored.select(key, *keep, ranked["label"].alias("prediction"))
+        scored = self.margins(df, keep, text, key)
+        best = F.array_position("margins", F.array_max("margins")).cast("int")
+        names = F.array(*[F.lit(name) for name in self.labels])
+        return scored.select(key, *keep, F.element_at(names, best).alias("prediction"))
 
     def save(self, path: str) -> None:
-        self.linear.write().overwrite().save(f"{path}/linear")
-        self.features.terms.coalesce(1).write.mode("overwrite").parquet(f"{path}/terms")
-        spark = self.features.terms.sparkSession
+        self.coefficients.coalesce(1).write.mode("overwrite").parquet(f"{path}/coefficients")
+        spark = self.coefficients.sparkSession
         setup = [(self.labels, list(self.features.ngram_range), list(self.features.stop_words), self.features.size)]
-        schema = "labels array<string>, ngram_range array<int>, stop_words array<string>, size int"
-        spark.createDataFrame(setup, schema).coalesce(1).write.mode("overwrite").json(f"{path}/setup")
+        spark.createDataFrame(setup, SETUP).coalesce(1).write.mode("overwrite").json(f"{path}/setup")
+
+
+SETUP = "labels array<string>, ngram_range array<int>, stop_words array<string>, size int"
 
 
 def load_model(spark: SparkSession, path: str) -> BaselineModel:
-    schema = "labels array<string>, ngram_range array<int>, stop_words array<string>, size int"
-    setup = spark.read.schema(schema).json(f"{path}/setup").first()
+    setup = spark.read.schema(SETUP).json(f"{path}/setup").first()
+    coefficients = spark.read.parquet(f"{path}/coefficients")
     features = TextFeatures(
-        spark.read.parquet(f"{path}/terms"), setup.size, tuple(setup.ngram_range), tuple(setup.stop_words)
+        coefficients.select("term", "idf", "index"), setup.size, tuple(setup.ngram_range), tuple(setup.stop_words)
     )
-    return BaselineModel(features, list(setup.labels), PipelineModel.load(f"{path}/linear"))
+    return BaselineModel(features, list(setup.labels), coefficients)
 
 
-def _binary(index: int) -> LogisticRegression:
+def _binary() -> LogisticRegression:
     return LogisticRegression(
         featuresCol="features", labelCol="is_label", weightCol="weight", fitIntercept=False,
-        standardization=False, elasticNetParam=0.0, predictionCol="", probabilityCol="",
-        rawPredictionCol=f"margin_{index}",
+        standardization=False, elasticNetParam=0.0,
     )
 
 
@@ -151,30 +162,30 @@ def fit_baseline(
     if len(labels) < 2:
         raise ValueError("The classifier needs at least two labels.")
     features = TextFeatures.fit(train, max_features, ngram_range, stop_words, text)
-    rows = stage(features.transform(train.where(F.col(label).isNotNull()), [label], text, key), "features")
+    spark = train.sparkSession
+    vectors = features.transform(train.where(F.col(label).isNotNull()), [label], text, key).select(label, "features")
+    none = vector(features.size, F.array().cast("array<int>"), F.array().cast("array<double>"))
+    zero = spark.range(1, numPartitions=1).select(F.lit(None).cast(vectors.schema[label].dataType).alias(label), none.alias("features"))
+    rows = spark.read.schema(
+        S.StructType([vectors.schema[label], S.StructField("features", VectorUDT())])
+    ).parquet(staged_path(vectors.unionByName(zero), "features"))
     total = sum(row.n for row in balance.values())
 
     def fit(index: int):
         positive = labels[index]
         other = weights[labels[1 - index]] if len(labels) == 2 else 1.0
         mass = balance[positive].n * weights[positive] + (total - balance[positive].n) * other
-        is_label = F.col(label) == positive
+        is_label = F.col(label).eqNullSafe(positive)
         task = rows.select(
             "features", is_label.cast("double").alias("is_label"),
-            F.when(is_label, weights[positive]).otherwise(other).alias("weight"),
-        ).unionByName(_zero_row(rows.sparkSession, features.size, mass))
-        estimator = _binary(0 if len(labels) == 2 else index).setMaxIter(max_iter).setTol(tol)
-        return estimator.setRegParam(1.0 / (c * 2.0 * mass)).fit(task)
+            F.when(F.col(label).isNull(), mass).when(is_label, weights[positive]).otherwise(other).alias("weight"),
+        )
+        estimator = _binary().setMaxIter(max_iter).setTol(tol)
+        return estimator.setRegParam(1.0 / (c * 2.0 * mass)).fit(task).coefficients.toArray()
 
     wanted = [1] if len(labels) == 2 else list(range(len(labels)))
     with ThreadPool(min(parallelism, len(wanted))) as pool:
         models = pool.map(fit, wanted)
-    return BaselineModel(features, labels, PipelineModel(models))
-
-
-def _zero_row(spark: SparkSession, size: int, weight: float) -> DataFrame:
-    build = sparse_vector(size)
-    return spark.range(1, numPartitions=1).select(
-        build(F.array().cast("array<int>"), F.array().cast("array<double>")).alias("features"),
-        F.lit(0.0).alias("is_label"), F.lit(weight).alias("weight"),
-    )
+    by_index = [(i, [float(m[i]) for m in models]) for i in range(features.size)]
+    table = spark.createDataFrame(by_index, "index int, weights array<double>")
+    return BaselineModel(features, labels, measured(features.terms.join(table, "index").select("term", "idf", "index", "weights")))

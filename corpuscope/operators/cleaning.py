@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuscope.functions import text as T
 from corpuscope.operators.labels import frequent_labels, keep_frequent_labels
 from corpuscope.operators.schema import normalise_columns, require_columns
+from corpuscope.staging import measured
 
 TEXT = "transcription"
 LABEL = "medical_specialty"
@@ -64,11 +65,13 @@ def first_copies(
     """Per distinct text the row with the smallest key, as its key and the given facts.
 
     Only keys, facts and digests move, and copies of a text meet inside each task before
-    the shuffle, so a text that makes up a third of the rows costs no more than any other.
+    the shuffle, so a text that makes up a third of the rows costs no more than any other. Facts
+    should be numbers or booleans (and so should the key): then the copies are hashed, not sorted.
     """
-    named = [F.col(key), *[fact.alias(name) for name, fact in facts.items()]]
-    narrow = df.select(F.struct(*named).alias("row"), text_digest(F.col(text)).alias("digest"))
-    return narrow.groupBy("digest").agg(F.min_by("row", F.col(f"row.{key}")).alias("first")).select("first.*")
+    named = [fact.alias(name) for name, fact in facts.items()]
+    narrow = df.select(key, *named, text_digest(F.col(text)).alias("digest"))
+    first = [F.min_by(name, key).alias(name) for name in facts]
+    return narrow.groupBy("digest").agg(F.min(key).alias(key), *first).drop("digest")
 
 
 def drop_duplicate_texts(df: DataFrame, text: str = TEXT, key: str = KEY) -> DataFrame:
@@ -119,12 +122,13 @@ def _distinct_survivors(
 ) -> DataFrame:
     """Keys of the rows that survive dedup, length and label filters.
 
-    Decided on narrow rows alone; the texts are shuffled once, by unique key, when the
-    caller joins the survivors back.
+    Decided on narrow rows alone, where a 64-bit hash stands for the label; the texts are shuffled once,
+    by unique key, when the caller joins the survivors back. The frequent labels are computed first (a job), so
+    their measured size picks the join and no row moves by its label.
     """
-    facts = {label: F.col(label), "long_enough": T.at_least_words(F.col(text), min_doc_length)}
+    facts = {label: F.xxhash64(label), "long_enough": T.at_least_words(F.col(text), min_doc_length)}
     firsts = first_copies(rows, facts, text, key).where("long_enough")
-    frequent = frequent_labels(firsts, label, min_class_samples)
+    frequent = measured(frequent_labels(firsts, label, min_class_samples))
     return firsts.join(frequent, label, "left_semi").select(key)
 
 

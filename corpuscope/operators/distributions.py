@@ -33,12 +33,20 @@ def _quantile(share: float) -> Column:
 
 
 def describe(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), digits: int = 1) -> DataFrame:
-    """Count, mean, sample deviation, min, quartiles, max; one row per metric (and group)."""
+    """Count, mean, sample deviation, min, quartiles, max; one row per metric (and group).
+
+    The deviation is summed about the mean in a second pass over the frequencies, which are computed once (a job).
+    """
     value, n = F.col("value"), F.col("n").cast("double")
-    stats = value_frequencies(df, metrics, by).groupBy(*by, "metric").agg(
+    frequencies = measured(value_frequencies(df, metrics, by))
+    means = frequencies.groupBy(*[F.col(g).alias(f"_{g}") for g in (*by, "metric")]).agg(
+        (F.sum(value * n) / F.sum(n)).alias("_mean")
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in (*by, "metric")]
+    centred = frequencies.join(means, same).withColumn("_off", value - F.col("_mean"))
+    stats = centred.groupBy(*by, "metric", "_mean").agg(
         F.sum("n").alias("count"),
-        F.sum(value * n).alias("_s1"),
-        F.sum(value * value * n).alias("_s2"),
+        F.sum(F.col("_off") * F.col("_off") * n).alias("_s2"),
         F.min("value").alias("min"),
         _quantile(0.25).alias("q25"),
         _quantile(0.5).alias("q50"),
@@ -46,10 +54,8 @@ def describe(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), digi
         F.max("value").alias("max"),
     )
     count = F.col("count").cast("double")
-    mean = F.col("_s1") / count
-    variance = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0)) / (count - 1)
-    std = F.when(count > 1, F.sqrt(variance))
-    ordered = {"mean": mean, "std": std}
+    std = F.when(count > 1, F.sqrt(F.col("_s2") / (count - 1)))
+    ordered = {"mean": F.col("_mean"), "std": std}
     ordered |= {name: F.col(name) for name in ("min", "q25", "q50", "q75", "max")}
     return stats.select(
         *by, "metric", "count",

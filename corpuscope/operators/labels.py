@@ -65,17 +65,13 @@ def imbalance(df: DataFrame, label: str) -> DataFrame:
         round_even(percent(F.col("minority_n"), F.col("labelled")), 2).alias("minority_pct"),
         ratio.alias("imbalance_ratio"),
         (F.col("n_rows").cast("double") / F.col("n_classes")).alias("rows_per_class"),
-        imbalance_band(ratio).alias("strategy"),
+        imbalance_band(ratio).alias("band"),
     )
 
 
 def imbalance_band(ratio: Column) -> Column:
-    """Advice by ratio of the largest to the smallest class: <5, 5-20, >20."""
-    return (
-        F.when(ratio < 5, "standard training, per-class metrics")
-        .when(ratio <= 20, "class weights, stratified splits")
-        .otherwise("resampling, class merging or a hierarchy")
-    )
+    """Band of the ratio of the largest to the smallest class: below 5, 5 to 20, above 20."""
+    return F.when(ratio < 5, "low").when(ratio <= 20, "medium").otherwise("high")
 
 
 def thin_labels(df: DataFrame, label: str, below: int = 50) -> DataFrame:
@@ -115,7 +111,7 @@ def frequent_labels(df: DataFrame, label: str, min_rows: int) -> DataFrame:
 def keep_frequent_labels(df: DataFrame, label: str, min_rows: int) -> DataFrame:
     """Rows whose label has at least ``min_rows`` rows; nothing else of ``df`` moves.
 
-    The list of labels is computed first, so its measured size picks the join.
+    The list of labels is computed first (a job), so its measured size picks the join.
     """
     frequent = measured(frequent_labels(df, label, min_rows))
     return df.join(frequent, label, "left_semi").select(*df.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
@@ -33,3 +34,12 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(message)
     return df
+
+
+def require_unique_key(df: DataFrame, key: str) -> DataFrame:
+    """Raise ``ValueError`` when a key is missing or repeats; runs a job on the key column."""
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(key).isNull())
+    found = repeated.first()
+    if found is not None:
+        raise ValueError(f"key {key} must be unique and present: {found[key]!r} occurs {found.n} times")
+    return df

@@ -10,15 +10,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from corpuscope.functions import text as T
 from corpuscope.functions.numeric import percent, round_even
 from corpuscope.functions.stopwords import CLOUD_EXTRA, ENGLISH
 from corpuscope.operators.cleaning import KEY, LABEL, TEXT
 from corpuscope.operators.labels import keep_top_labels, label_counts, top_labels
-from corpuscope.staging import stage
+from corpuscope.staging import measured
 
-SHORT_LIST = 1000
 SCORE_DIGITS = 10  # scores are ranked at this precision, so float noise breaks no tie
 
 
@@ -26,14 +26,25 @@ def with_terms(
     df: DataFrame, text: str, keep: Sequence[str], ngram_range: tuple[int, int], stop_words: Sequence[str]
 ) -> DataFrame:
     """``(keep..., terms)``: each row's n-grams. Tokens are a column of their own first, so
-    that the n-grams, which use them several times, do not tokenise again."""
-    source = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    tokenised = df.select(*keep, T.tokens(source, stop_words).alias("terms"))
+    that the n-grams, which use them several times, do not tokenise again. ``text`` may also name a column of
+    tokens, as :func:`token_table` has; stop words then leave it too."""
+    if isinstance(df.schema[text].dataType, ArrayType):
+        found = F.filter(F.col(text), lambda token: ~token.isin(list(stop_words))) if stop_words else F.col(text)
+    else:
+        found = T.tokens(F.coalesce(F.col(text).cast("string"), F.lit("")), stop_words)
+    tokenised = df.select(*keep, found.alias("terms"))
     if ngram_range == (1, 1):
         return tokenised
     return tokenised.select(*keep, T.ngrams(F.col("terms"), *ngram_range).alias("terms"))
 
 
+def token_table(
+    df: DataFrame, text: str = TEXT, label: str = LABEL, key: str = KEY, stop_words: Sequence[str] = ENGLISH
+) -> DataFrame:
+    """``(key, label, tokens)``. Staged, it gives all term work one tokenisation of the corpus."""
+    return with_terms(df, text, [key, label], (1, 1), stop_words).withColumnRenamed("terms", "tokens")
+
+
 def unnest(df: DataFrame, keep: Sequence[str], items: Column, name: str = "term") -> DataFrame:
     """One row per array item. The outer form plus a filter, since for the inner one Spark
     adds a filter on the array's size below, and so builds every array twice."""
@@ -72,10 +83,25 @@ def document_terms(
     ngram_range: tuple[int, int] = (1, 1),
     stop_words: Sequence[str] = ENGLISH,
 ) -> DataFrame:
-    """``(key, term, tf)``. Whole texts move once, by key; the term rows then stay put."""
-    found = with_terms(df.select(key, text).repartition(F.col(key)), text, [key], ngram_range, stop_words)
-    exploded = unnest(found, [key], F.col("terms"))
-    return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``(key, term, tf)``. Counted inside each row: nothing is shuffled."""
+    return counted_terms(df.select(key, text), text, [key], ngram_range, stop_words)
+
+
+def counted_terms(
+    df: DataFrame, text: str, keep: Sequence[str], ngram_range: tuple[int, int], stop_words: Sequence[str],
+    extra: Sequence[str] = (),
+) -> DataFrame:
+    """``(keep..., term, tf)`` from each row's own sorted terms: where a run of equal terms begins, and how far the
+    next is. ``extra`` terms are added to every row once."""
+    found = with_terms(df, text, keep, ngram_range, stop_words)
+    added = F.array(*[F.lit(x) for x in extra]).cast("array<string>")
+    ordered = found.select(*keep, F.sort_array(F.concat("terms", added) if extra else F.col("terms")).alias("terms"))
+    places = F.when(F.size("terms") > 0, F.sequence(F.lit(0), F.size("terms") - 1)).otherwise(F.array().cast("array<int>"))
+    begins = F.filter(places, lambda i: (i == 0) | (F.get("terms", i) != F.get("terms", i - 1)))
+    runs = ordered.select(*keep, "terms", begins.alias("begins"))
+    after = lambda k: F.coalesce(F.get("begins", k + 1), F.size("terms"))
+    pairs = F.transform("begins", lambda i, k: F.struct(F.get("terms", i).alias("term"), (after(k) - i).cast("long").alias("tf")))
+    return unnest(runs, keep, pairs, "pair").select(*keep, "pair.term", "pair.tf")
 
 
 def _bound(limit: int | float, documents: Column) -> Column:
@@ -97,18 +123,16 @@ def prune(stats: DataFrame, documents: Column, min_df: int | float = 1, max_df:
 def most_frequent(stats: DataFrame, top: int) -> DataFrame:
     """The ``top`` terms by total count, then name.
 
-    A short list is merged from each task's own best rows. For a long one that would send
-    ``top`` rows per task to a single task, so the terms are staged, the count that the last
-    of the top terms reaches is read off the frequencies of counts, and only terms at or
-    above it are sorted.
+    The count that the last of the top terms reaches is read off the frequencies of counts, and only
+    terms at or above it are sorted, so no task sends ``top`` rows of its own. The terms' shuffle is used by
+    both steps: the first reads the same columns, so that it is the same plan.
     """
-    if top > SHORT_LIST:
-        stats = stage(stats, "terms")
-        totals = stats.groupBy("total").agg(F.count(F.lit(1)).alias("n"))
-        higher = Window.orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
-        above = F.coalesce(F.sum("n").over(higher), F.lit(0))
-        reached = totals.withColumn("_above", above).where(F.col("_above") < top)
-        stats = stats.where(F.col("total") >= reached.agg(F.min("total").alias("least")).scalar())
+    same = F.concat(*[F.col(name).cast("string") for name in stats.columns if name != "total"]).isNotNull()
+    totals = stats.groupBy("total").agg(F.count_if(same).alias("n"))
+    higher = Window.orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
+    above = F.coalesce(F.sum("n").over(higher), F.lit(0))
+    reached = totals.withColumn("_above", above).where(F.col("_above") < top)
+    stats = stats.where(F.col("total") >= reached.agg(F.min("total").alias("least")).scalar())
     return stats.orderBy(F.desc("total"), F.asc("term")).limit(top)
 
 
@@ -143,22 +167,19 @@ def weighted_terms(
 ) -> DataFrame:
     """``(key, keep..., term, tf, weight)`` of vocabulary terms, L2-normalised per document.
 
-    ``vocab`` is a result of :func:`vocabulary`, so the broadcast side has at most
-    ``max_features`` rows. Texts are partitioned by key once; counting and the norm reuse
-    that partitioning.
+    Terms are counted in the row and meet the vocabulary, whose measured size (a job) picks the join. Each task then
+    folds a document's known terms into one row, and that row alone moves.
     """
-    placed = df.select(key, *keep, text).repartition(F.col(key))
-    found = with_terms(placed, text, [key, *keep], ngram_range, stop_words)
-    exploded = unnest(found, [key, *keep], F.col("terms"))
-    counted = (
-        exploded.join(F.broadcast(vocab.select("term", "idf")), "term")
-        .groupBy(key, *keep, "term", "idf")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    counted = counted_terms(df.select(key, *keep, text), text, [key, *keep], ngram_range, stop_words)
     tf = F.col("tf").cast("double")
-    raw = counted.withColumn("_raw", (1.0 + F.log(tf) if sublinear else tf) * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
-    return raw.select(key, *keep, "term", "tf", (F.col("_raw") / norm).alias("weight"))
+    known = counted.join(measured(vocab.select("term", "idf")), "term").withColumn(
+        "_raw", (1.0 + F.log(tf) if sublinear else tf) * F.col("idf")
+    )
+    folded = known.groupBy(key, *keep).agg(
+        F.collect_list(F.struct("term", "tf", "_raw")).alias("cells"), F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("norm")
+    )
+    cells = folded.select(key, *keep, "norm", F.explode("cells").alias("cell"))
+    return cells.select(key, *keep, "cell.term", "cell.tf", (F.col("cell._raw") / F.col("norm")).alias("weight"))
 
 
 def _ranked(df: DataFrame, by: str, score: str, top: int) -> DataFrame:
@@ -283,10 +304,14 @@ def vocabulary_sizes(sets: DataFrame, label: str = LABEL) -> DataFrame:
 
 def jaccard(
     df: DataFrame, text: str = TEXT, label: str = LABEL, labels: int = 10, min_docs: int = 3,
-    stop_words: Sequence[str] = ENGLISH,
+    stop_words: Sequence[str] = ENGLISH, sets: DataFrame | None = None,
 ) -> DataFrame:
-    """``(label_a, label_b, n_shared, n_union, jaccard)`` for every ordered pair, own pair too."""
-    sets = label_sets(label_vocabularies(df, text, label, labels, min_docs, stop_words), label)
+    """``(label_a, label_b, n_shared, n_union, jaccard)`` for every ordered pair, own pair too.
+
+    ``sets`` may bring :func:`label_sets` of the same labels, computed before.
+    """
+    if sets is None:
+        sets = label_sets(label_vocabularies(df, text, label, labels, min_docs, stop_words), label)
     sizes = vocabulary_sizes(sets, label)
     shared = (
         sets.select("n", F.explode("labels").alias("label_a"), "labels")
@@ -313,16 +338,20 @@ def jaccard(
 
 def exclusive_terms(
     df: DataFrame, text: str = TEXT, label: str = LABEL, labels: int = 10, min_docs: int = 3,
-    stop_words: Sequence[str] = ENGLISH,
+    stop_words: Sequence[str] = ENGLISH, sets: DataFrame | None = None,
 ) -> DataFrame:
-    """``(label, n_terms, n_unique, unique_pct, n_all)``; ``n_all`` counts the union."""
-    sets = label_sets(label_vocabularies(df, text, label, labels, min_docs, stop_words), label)
-    everything = sets.agg(F.sum("n").alias("n_all")).scalar()
-    return vocabulary_sizes(sets, label).select(
-        label, "n_terms", "n_unique",
-        round_even(percent(F.col("n_unique"), F.col("n_terms")), 1).alias("unique_pct"),
-        everything.alias("n_all"),
+    """``(label, n_terms, n_unique, unique_pct, n_all)`` of every compared label; ``n_all`` counts the union.
+
+    ``sets`` as in :func:`jaccard`.
+    """
+    if sets is None:
+        sets = label_sets(label_vocabularies(df, text, label, labels, min_docs, stop_words), label)
+    everything = sets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_all")).scalar()
+    sizes = top_labels(df, label, labels).select(label).join(vocabulary_sizes(sets, label), label, "left").na.fill(
+        0, ["n_terms", "n_unique"]
     )
+    share = F.when(F.col("n_terms") > 0, round_even(percent(F.col("n_unique"), F.col("n_terms")), 1)).otherwise(F.lit(0.0))
+    return sizes.select(label, "n_terms", "n_unique", share.alias("unique_pct"), everything.alias("n_all"))
 
 
 def cloud_weights(
@@ -347,9 +376,7 @@ def cloud_weights(
 def vocabulary_lookup(df: DataFrame, vocab: DataFrame, text: str = TEXT, key: str = KEY,
                       stop_words: Sequence[str] = ENGLISH) -> DataFrame:
     """``(key, n_known, n_distinct_known)``: a document's tokens that the vocabulary holds."""
-    found = with_terms(df.select(key, text).repartition(F.col(key)), text, [key], (1, 1), stop_words)
-    tokens = unnest(found, [key], F.col("terms"))
-    known = tokens.join(F.broadcast(vocab.select("term")), "term", "left_semi").groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("n")
+    known = counted_terms(df.select(key, text), text, [key], (1, 1), stop_words).join(
+        measured(vocab.select("term")), "term", "left_semi"
     )
-    return known.groupBy(key).agg(F.sum("n").alias("n_known"), F.count(F.lit(1)).alias("n_distinct_known"))
+    return known.groupBy(key).agg(F.sum("tf").alias("n_known"), F.count(F.lit(1)).alias("n_distinct_known"))

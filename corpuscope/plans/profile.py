@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpuscope.functions.numeric import round_even
 from corpuscope.functions.readability import SCORES, with_readability, with_text_stats
 from corpuscope.operators import cleaning, distributions, labels, quality, terms
-from corpuscope.staging import stage
+from corpuscope.staging import measured, stage
 
 LENGTHS = ("char_len", "word_count", "sentence_count", "avg_word_len")
 
@@ -63,15 +63,19 @@ def profile(
     """Every table of the exploratory profile, by name.
 
     Missing values and duplicates describe the raw rows, all else the rows with a text.
-    The per-document measures are staged once; term tables read the texts.
+    The per-document measures and the tokens are staged once, and what two tables share (best terms, label
+    sets) is computed once. Runs those jobs; :func:`corpuscope.staging.staged_work` around the use gives all back.
     """
-    present = cleaning.drop_missing(df, text)
+    raw_text = text
     facts = stage(document_facts(df, text, label, key), "facts")
-    best = terms.top_tfidf_terms(present, text, label, key)
+    present = stage(terms.token_table(cleaning.drop_missing(df, text), text, label, key), "tokens")
+    text = "tokens"
+    best = measured(terms.top_tfidf_terms(present, text, label, key))
+    sets = measured(terms.label_sets(terms.label_vocabularies(present, text, label), label))
     return {
         "shape": quality.shape(df),
         "missing": quality.missing_profile(df),
-        "duplicates": quality.duplicate_profile(df, text),
+        "duplicates": quality.duplicate_profile(df, raw_text),
         "label_frequency": labels.label_frequency(facts, label),
         "pareto": labels.pareto(facts, label),
         "imbalance": labels.imbalance(facts, label),
@@ -85,8 +89,8 @@ def profile(
         "bigrams": terms.top_ngrams(present, 2, 20, text),
         "trigrams": terms.top_ngrams(present, 3, 20, text),
         "bigrams_by_label": terms.top_ngrams_by_label(present, 2, 5, 10, text, label),
-        "jaccard": terms.jaccard(present, text, label),
-        "exclusive_terms": terms.exclusive_terms(present, text, label),
+        "jaccard": terms.jaccard(present, text, label, sets=sets),
+        "exclusive_terms": terms.exclusive_terms(present, text, label, sets=sets),
         "readability": distributions.describe(facts, SCORES, digits=2),
         "readability_by_label": distributions.medians(
             facts.where(F.col(label).isNotNull()), SCORES[:3], [label]

@@ -16,11 +16,15 @@ from corpuscope.staging import measured
 
 
 @dataclass(frozen=True)
-class BaselineArtifacts:
-    macro_f1: float
-    report: DataFrame
-    model_path: str
-    metrics_path: str
+class TrainingRun:
+    """A fitted model and its counts on the scored split, ``(truth, prediction, n)``."""
+
+    model: BaselineModel
+    counts: DataFrame
+
+    @property
+    def report(self) -> DataFrame:
+        return metrics.classification_report(self.counts)
 
 
 def evaluate(model: BaselineModel, df: DataFrame, key: str = KEY) -> DataFrame:
@@ -37,20 +41,15 @@ def train_baseline(
     score_split: str = "val",
     key: str = KEY,
     **options,
-) -> BaselineArtifacts:
+) -> TrainingRun:
     """Fit on the train rows, score another split, store the model and the metrics record."""
     require_columns(train_ready, {"text", "label", "split"}, "Train-ready dataset")
     train, held_out = select_split(train_ready, "train"), select_split(train_ready, score_split)
-    if train.isEmpty() or held_out.isEmpty():
-        raise ValueError("Train-ready dataset must contain non-empty train and val splits.")
+    for name, rows in (("train", train), (score_split, held_out)):
+        if rows.isEmpty():
+            raise ValueError(f"the {name} side has no rows")
     model = fit_baseline(train, max_features, ngram_range, key=key, **options)
     counts = evaluate(model, held_out, key)
     model.save(model_path)
-    record = metrics.record_of(counts)
-    write_metrics(record, metrics_path)
-    return BaselineArtifacts(
-        macro_f1=metrics.macro_f1(counts).first().macro_f1,
-        report=metrics.classification_report(counts),
-        model_path=model_path,
-        metrics_path=metrics_path,
-    )
+    write_metrics(metrics.record_of(counts), metrics_path)
+    return TrainingRun(model, counts)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from corpuscope.staging import filesystem
+
 # Cell texts that stand for a missing value in a CSV file.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -25,40 +27,54 @@ RAW_SCHEMA = S.StructType(
 def read_notes_csv(spark: SparkSession, path: str, schema: S.StructType = RAW_SCHEMA) -> DataFrame:
     """Read notes with quoted line breaks and doubled quotes; missing-value texts become NULL.
 
+    Columns are found by the names in the header, whatever their order; an unnamed first column is
+    the row number. Columns that ``schema`` does not name follow as strings. A missing column raises
+    ValueError, and a record with too few or too many cells fails when it is read.
+
     Such a file cannot be split among tasks: store it once with :func:`ensure_table` and
-    work from there.
+    work from there. Reads the header when called.
     """
-    raw = spark.read.schema(schema).csv(
-        path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=True,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    dialect = {
+        "header": True, "multiLine": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    header = spark.read.csv(path, **dialect).columns
+    strings = S.StructType([S.StructField(name, S.StringType()) for name in header])
+    # Spark compares every file's header with the first's, but cannot where a name is empty. Whole records are parsed, also for a query of few columns, so that none with a wrong number of cells slips through.
+    raw = spark.read.schema(strings).option("columnPruning", False).csv(path, enforceSchema="_c0" in header, mode="FAILFAST", **dialect)
+    found = ["Unnamed: 0" if k == 0 and name == "_c0" else name for k, name in enumerate(header)]
+    raw = raw.toDF(*found)
+    missing = sorted({f.name for f in schema.fields} - set(found))
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+    extra = [name for name in found if name not in schema.names]
+    present = {name: F.when(~F.col(f"`{name}`").isin(*NULL_TOKENS), F.col(f"`{name}`")) for name in found}
+    return raw.select(
+        *[present[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields],
+        *[present[name].alias(name) for name in extra],
     )
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, S.StringType)]
-    return raw.withColumns({
-        name: F.when(~F.col(name).isin(*NULL_TOKENS), F.col(name)) for name in texts
-    })
+
+
+def keyed_by_row_number(notes: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Notes with the file's row number as their key, the column that cleaning takes for the row order."""
+    return notes.withColumnRenamed("Unnamed: 0", key)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Partition ``df`` by key if its scan has fewer splits than the cluster has cores.
+def ensure_table(df: DataFrame, path: str, force: bool = False) -> DataFrame:
+    """Store ``df`` at ``path`` unless a finished table is there already (or ``force``); return the table.
 
-    For small inputs in one file or row group, whose texts a single task would otherwise
-    work through. A large table has more splits than cores and passes unchanged. ``df`` should
-    be a plain scan: its splits are then known without running anything.
+    Only a folder with a success mark is a table: what a lost job left is written anew.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(2 * cores, key)
-
-
-def ensure_table(df: DataFrame, path: str, force: bool = False) -> DataFrame:
-    """Store ``df`` at ``path`` unless a table is there already (or ``force``); return the table."""
-    df.write.mode("overwrite" if force else "ignore").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    files, mark = filesystem(spark, f"{path.rstrip('/')}/_SUCCESS")
+    if force or not files.exists(mark):
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_clean(df: DataFrame, path: str, label: str = "medical_specialty") -> None:
@@ -73,11 +89,13 @@ def write_train_ready(df: DataFrame, path: str) -> None:
 
 
 def write_split_csv(df: DataFrame, path: str) -> dict[str, str]:
-    """CSV with header in one folder per split; returns the folder of each."""
+    """CSV with header in one folder per split; returns the folder of each split that has rows."""
     df.write.mode("overwrite").partitionBy("split").option("quote", '"').option("escape", '"').csv(
         path, header=True
     )
-    return {name: f"{path}/split={name}" for name in ("train", "val", "test")}
+    files, _ = filesystem(df.sparkSession, path)
+    folders = {name: f"{path}/split={name}" for name in ("train", "val", "test")}
+    return {name: at for name, at in folders.items() if files.exists(filesystem(df.sparkSession, at)[1])}
 
 
 def write_metrics(df: DataFrame, path: str) -> None:

@@ -12,11 +12,13 @@ from corpuscope.session import tuned
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = tuned(
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -10,15 +10,16 @@ def pairs(df):
     return sorted((r.doc_id, r.medical_specialty) for r in df.collect())
 
 
-def test_short_texts_and_rare_labels_go(notes):
-    raw = notes([
-        (1, "valid note with quite enough words for testing", "Heart"),
-        (2, "another valid note with many useful words", "Heart"),
-        (3, "tiny", "Heart"),
-        (4, "brain note with enough terms for evaluation", "Brain"),
-    ])
-    cleaned = cleaning.clean_pair(raw, min_class_samples=2, min_doc_length=5)
-    assert pairs(cleaned) == [(1, "Heart"), (2, "Heart")]
+def test_short_texts_and_rare_labels_go(spark):
+    """Labels of 1 to 6 rows; row k of a label has k words."""
+    rows = [(10 * size + k, " ".join(["w"] * k), f"of {size}") for size in range(1, 7) for k in range(1, size + 1)]
+    raw = spark.createDataFrame(rows, "doc_id long, transcription string, medical_specialty string")
+    for least_words in (1, 3, 6):
+        for least_rows in (1, 2, 4):
+            long_enough = [(key, label) for key, text, label in rows if len(text.split()) >= least_words]
+            counts = {label: sum(own == label for _, own in long_enough) for _, label in long_enough}
+            want = sorted((key, label) for key, label in long_enough if counts[label] >= least_rows)
+            assert pairs(cleaning.clean_pair(raw, least_rows, least_words)) == want
 
 
 def test_bounds_are_inclusive(notes):
@@ -63,6 +64,26 @@ def test_one_text_on_a_third_of_the_rows(spark):
     assert cleaning.clean_distinct(raw, 1, 1).count() == 2001
 
 
+@pytest.mark.parametrize("least", [1, 2, 199, 200, 201])
+def test_word_bound_at_any_length(spark, least):
+    texts = [" " + "a\u2003" * n for n in (least - 1, least, least + 1)] + ["", "  ", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, transcription string")
+    assert [r.doc_id for r in cleaning.min_words(df, least).orderBy("doc_id").collect()] == [1, 2]
+
+
+def test_distinct_recipe_moves_no_row_by_label_and_sorts_no_copies(spark, notes):
+    raw = notes([(k, f"text {k % 7}", "XY"[k % 2]) for k in range(40)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        cleaned = cleaning.clean_distinct(raw, 1, 1)
+        cleaned.collect()
+        plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortAggregate" not in plan and "SortMergeJoin [medical_specialty" not in plan
+
+
 def test_column_names(spark):
     raw = spark.createDataFrame([(1, "a b", "X")], "` Doc ID ` long, Transcription string, `Medical Specialty` string")
     assert cleaning.clean_pair(raw, 1, 1).columns == ["doc_id", "transcription", "medical_specialty"]

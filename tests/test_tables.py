@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpuscope import staging
 from corpuscope.operators import distributions
 from corpuscope.plans import prepare, profile
 from corpuscope.sources import tables
@@ -38,10 +40,64 @@ def test_stored_table_is_kept_unless_forced(spark, tmp_path):
     assert tables.ensure_table(spark.range(5), path, force=True).count() == 5
 
 
-def test_spread_leaves_wide_tables_alone(spark):
-    wide = spark.range(100, numPartitions=32).withColumnRenamed("id", "doc_id")
-    assert tables.spread(wide, "doc_id") is wide
-    assert tables.spread(wide.coalesce(1), "doc_id").rdd.getNumPartitions() == 16
+def test_an_unfinished_table_is_written_anew(spark, tmp_path):
+    path = tmp_path / "table"
+    tables.ensure_table(spark.range(4), str(path))
+    (path / "_SUCCESS").unlink()
+    assert tables.ensure_table(spark.range(6), str(path)).count() == 6
+    (tmp_path / "empty").mkdir()
+    assert tables.ensure_table(spark.range(2), str(tmp_path / "empty")).count() == 2
+
+
+@pytest.mark.parametrize("header, row, found", [
+    (",medical_specialty,keywords,sample_name,description,transcription", "4,L,k,s,d,T", ("T", "L", "d")),
+    ("Unnamed: 0,transcription,medical_specialty,description,sample_name,keywords,more", "4,T,L,d,s,k,m", ("T", "L", "d")),
+])
+def test_csv_columns_are_found_by_name(spark, tmp_path, header, row, found):
+    path = tmp_path / "notes.csv"
+    path.write_text(f"{header}\n{row}\n")
+    got = tables.read_notes_csv(spark, str(path))
+    r = got.first()
+    assert (r["Unnamed: 0"], r.transcription, r.medical_specialty, r.description) == (4, *found)
+    assert ("more" in got.columns) == ("more" in header)
+
+
+def test_csv_with_missing_columns_or_cells_is_refused(spark, tmp_path):
+    path = tmp_path / "notes.csv"
+    path.write_text(",transcription,medical_specialty\n1,T,L\n")
+    with pytest.raises(ValueError, match=r"\['description', 'keywords', 'sample_name'\]"):
+        tables.read_notes_csv(spark, str(path))
+    path.write_text(CSV + "3,too,few\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_notes_csv(spark, str(path)).collect()
+
+
+def test_csv_to_splits_by_row_number(spark, tmp_path):
+    lines = ["".join(f'{k},d,"note {k}\nwith ""five"" words here",s,k,{"AB"[k % 2]}\n' for k in range(40))]
+    (tmp_path / "notes.csv").write_text(CSV.splitlines()[0] + "\n" + lines[0])
+    folders = prepare.prepare_csv(
+        spark, str(tmp_path / "notes.csv"), str(tmp_path / "raw"), str(tmp_path / "out"), min_class_samples=2, min_doc_length=5, val_size=0,
+    )
+    assert set(folders) == {"train", "test"}
+    assert sum(spark.read.csv(at, header=True, multiLine=True, escape='"').count() for at in folders.values()) == 40
+    with pytest.raises(ValueError, match="unique"):
+        prepare.prepare_splits(sample(spark).union(sample(spark, 1)), str(tmp_path / "r2"), str(tmp_path / "o2"))
+
+
+def test_jobs_give_back_what_they_staged(spark, tmp_path):
+    kept, folder = len(staging._kept), Path(staging.shared_folder(spark).removeprefix("file://")) / "corpuscope"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    prepare.prepare_splits(sample(spark), str(tmp_path / "raw"), str(tmp_path / "out"), min_class_samples=2, min_doc_length=5)
+    prepare.prepare_train_ready(sample(spark), str(tmp_path / "c"), str(tmp_path / "r"), min_class_samples=2, min_doc_length=5)
+    with staging.staged_work(spark):
+        profile.profile(sample(spark))["jaccard"].collect()
+    assert len(staging._kept) == kept
+    assert (set(folder.glob("*")) if folder.exists() else set()) == before
+
+
+def test_deviation_of_values_far_from_zero(spark):
+    df = spark.range(1000).select((F.col("id") % 2 + 1e9).alias("v"))
+    assert distributions.describe(df, ["v"], digits=6).first().std == pytest.approx(0.50025, abs=1e-5)
 
 
 def sample(spark, n=60):

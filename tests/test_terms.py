@@ -25,6 +25,25 @@ def test_term_stats(spark, notes):
     assert got == {w: (sum(w in counts(t) for _, t, _ in DOCS), sum(counts(t)[w] for _, t, _ in DOCS)) for w in words}
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+def test_counting_terms_moves_no_text(notes):
+    df = notes(DOCS)
+    assert exchanges(terms.document_terms(df)) == []
+    vocab = terms.vocabulary(df)
+    for found in (terms.weighted_terms(df, vocab), terms.vocabulary_lookup(df, vocab)):
+        moved = exchanges(found)
+        assert moved and not any("transcription" in line for line in moved)
+
+
+def test_document_terms_count_repeats(notes):
+    got = {(r.doc_id, r.term): r.tf for r in terms.document_terms(notes(DOCS)).collect()}
+    assert got == {(key, w): n for key, text, _ in DOCS for w, n in counts(text).items()}
+
+
 def test_bounds_and_ties_of_the_vocabulary(notes):
     found = terms.vocabulary(notes(DOCS), min_df=2, max_df=3 / 7, max_features=2).collect()
     assert [r.term for r in found] == ["brain", "heart"]  # 4 uses in 3 of 7 texts each; ties by name
@@ -72,7 +91,7 @@ def test_vocabulary_overlap(notes):
     assert got["A", "B"] == got["B", "A"] == 0.5
     assert got["A", "A"] == 1.0 and got["A", "C"] == 0.0 and got["D", "D"] == 0.0
     unique = {r.medical_specialty: (r.n_terms, r.n_unique, r.unique_pct, r.n_all) for r in terms.exclusive_terms(df, min_docs=1).collect()}
-    assert unique == {"A": (3, 1, 33.3, 5), "B": (3, 1, 33.3, 5), "C": (1, 1, 100.0, 5)}
+    assert unique == {"A": (3, 1, 33.3, 5), "B": (3, 1, 33.3, 5), "C": (1, 1, 100.0, 5), "D": (0, 0, 0.0, 5)}
 
 
 def test_cloud_weights_leave_out_the_extra_words(notes):
@@ -88,11 +107,10 @@ def test_heat_map_fills_zeros(notes):
 
 
 @pytest.mark.parametrize("top", [1, 2, 3, 5, 6, 9])
-def test_long_lists_equal_short_ones(notes, monkeypatch, top):
+def test_top_lists_of_any_length(notes, top):
     stats = terms.term_stats(notes(DOCS))
-    direct = [tuple(r) for r in terms.most_frequent(stats, top).collect()]
-    monkeypatch.setattr(terms, "SHORT_LIST", 0)
-    assert [tuple(r) for r in terms.most_frequent(stats, top).collect()] == direct
+    every = sorted((tuple(r) for r in stats.collect()), key=lambda r: (-r[2], r[0]))
+    assert [tuple(r) for r in terms.most_frequent(stats, top).collect()] == every[:top]
 
 
 def test_top_lists_are_cut_before_the_shuffle(notes):
