@@ -17,7 +17,7 @@ sample of at most ``per_language`` labelled texts of each language (whole texts,
 Defined cases: a text that is NULL, empty or without a letter gives no evidence; other evidence then decides. A
 document is accepted if its best posterior is at least ``threshold`` and its text has a letter trigram.
 Missing declarations, suffixes or hosts give no evidence. Ties go to the first language by name. Repeated rows are
-judged alike, each as a row of its own. Without a labelled row the fit raises ValueError.
+judged alike, each as a row of its own. Without a labelled text there is one language, ``und``.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def fit(labelled: DataFrame, *, key: str = "doc_id", text: str = "text", label:
     ).filter("label is not null and label <> '' and text is not null")
     counts = {r.label: r["count"] for r in rows.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()}
     if not counts:
-        raise ValueError("no labelled text to learn languages from")
+        return TextModel(["und"], np.full((BUCKETS, 1), -np.log(BUCKETS), dtype=np.float32))
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} different languages")
     languages = sorted(counts)

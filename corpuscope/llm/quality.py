@@ -8,8 +8,8 @@ the declared length, and the interval each measure falls in. The machine is fitt
 texts, those with the smallest hashes of ``doc_id`` outside the held-out fold; it then scores all rows where they are.
 
 Defined cases: a NULL or empty text has no words and all measures zero, and is scored by what is left. A missing
-declared length counts as 0. Labels other than 0 and 1, and labels without a text row, are not used; a fit without
-both classes raises ValueError. Repeated rows are scored alike.
+declared length counts as 0. Labels other than 0 and 1, and labels without a text row, are not used. Without labels
+of both classes every text gets the same score, (ones + 1) / (labels + 2). Repeated rows are scored alike.
 """
 
 from __future__ import annotations
@@ -131,7 +131,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], *, epochs: int = 12, r
     """Logistic loss, minimised with Adam over batches of 128 rows; the same rows give the same machine."""
     labels = np.array([y for _, _, y in rows], dtype=float)
     if len(set(labels.tolist())) < 2:
-        raise ValueError("labelled texts of both classes are needed")
+        share = (labels.sum() + 1) / (len(labels) + 2)
+        return Machine(float(np.log(share / (1 - share))), np.zeros(SIZE), np.zeros((SIZE, FACTORS)))
     rng = np.random.default_rng(seed)
     mean = labels.mean()
     machine = Machine(float(np.log(mean / (1 - mean))), np.zeros(SIZE), rng.normal(0, 0.05, (SIZE, FACTORS)))
