@@ -119,14 +119,5 @@ def op10_search(spark, sf):
 def op1_training_order(spark, sf):
     """The shards of all texts, read back: each slot's sequence number, place, and ids."""
     path = Scratch(spark, "shards").path
-    layout = training_order.write_shards(table(spark, sf, "documents"), path, read_file(spark, RANKS), key=20)
-
-    def numbered(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            number = training_order.permute(batch.column("slot").to_numpy(), layout.sequences, layout.key, inverse=True)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number)], names=[*batch.schema.names, "sequence"])
-
-    slots = training_order.read_slots(spark, path)
-    return slots.mapInArrow(numbered, "slot long, shard int, offset long, ids array<int>, sequence long")
+    training_order.write_shards(table(spark, sf, "documents"), path, read_file(spark, RANKS), key=20)
+    return training_order.read_slots(spark, path)

@@ -202,12 +202,13 @@ def read_layout(spark: SparkSession, path: str) -> Layout:
 
 
 def read_slots(spark: SparkSession, path: str, *, first: int = 0) -> DataFrame:
-    """``slot``, ``shard``, ``offset`` (of the record in its shard) and ``ids`` of slot ``first`` and all after it.
+    """``slot``, ``shard``, ``offset`` (of the record in its shard), ``sequence`` (its number in the stream) and ``ids`` of slot
+    ``first`` and all after it.
 
     Shards before the first slot's are not opened.
     """
     layout = read_layout(spark, path)
-    schema = "slot long, shard int, offset long, ids array<int>"
+    schema = "slot long, shard int, offset long, sequence long, ids array<int>"
     if first >= layout.sequences:
         return spark.createDataFrame([], schema)
     stride, per_shard = layout.stride, layout.per_shard
@@ -221,12 +222,14 @@ def read_slots(spark: SparkSession, path: str, *, first: int = 0) -> DataFrame:
                 for at in range(skip, len(records), 512):
                     block = np.ascontiguousarray(records[at:at + 512, :-1]).view("<u2").astype(np.int32)
                     place = np.arange(at, at + len(block))
+                    slot = shard * per_shard + place
+                    sequence = permute(slot, layout.sequences, layout.key, inverse=True)
                     lists = pa.ListArray.from_arrays(
                         pa.array(np.arange(len(block) + 1, dtype=np.int32) * block.shape[1]), pa.array(block.ravel())
                     )
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard * per_shard + place), pa.array(np.full(len(block), shard, dtype=np.int32)), pa.array(place * stride), lists],
-                        names=["slot", "shard", "offset", "ids"],
+                        [pa.array(slot), pa.array(np.full(len(block), shard, dtype=np.int32)), pa.array(place * stride), pa.array(sequence), lists],
+                        names=["slot", "shard", "offset", "sequence", "ids"],
                     )
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")

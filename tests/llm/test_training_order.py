@@ -42,6 +42,7 @@ def test_shards_hold_the_stream_in_keyed_order(spark, documents, prose, tmp_path
     slots = T.permute(np.arange(layout.sequences), layout.sequences, 7)
     assert all(r["ids"] == want[16 * n:16 * n + 16] for n, r in ((n, rows[slots[n]]) for n in range(layout.sequences)))
     assert order[slots[0]] == 0
+    assert [r.sequence for r in rows] == order.tolist()
     files = sorted((tmp_path / "shards" / "shards").glob("part-*"))
     assert [f.stat().st_size for f in files[:-1]] == [10 * layout.stride] * (len(files) - 1)
     for r in rows[::7]:  # a reader may seek straight to a record
