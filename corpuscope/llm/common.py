@@ -17,9 +17,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 2000 rows and 32 MB, so that long texts cannot fill a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    """Arrow batches of at most 1000 rows and 16 MB, so that long texts cannot fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def packed(df: DataFrame, **named: Column) -> DataFrame:
@@ -62,6 +62,7 @@ def grouped_batches(batches: Iterable[pa.RecordBatch], limit: int, column: str)
                 held, size = [], 0
     if held:
         yield _joined(held)
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:

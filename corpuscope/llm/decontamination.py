@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from corpuscope.llm.common import as_bytes, grouped_batches, packed, unpacked
 
 WINDOW = 10
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 BLOCK_WORDS = 2_000_000
 
 # Word characters are digits, letters and all from U+0080 on; A-Z count as a-z.

@@ -35,8 +35,8 @@ from corpuscope.llm.common import grouped_batches, packed
 
 SPACE = "▁"
 LONG = 48
-REMEMBERED = 200_000
-CHUNK_BYTES = 8 << 20
+REMEMBERED = 100_000
+CHUNK_BYTES = 2 << 20
 
 
 class Vocabulary:

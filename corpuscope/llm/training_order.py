@@ -39,7 +39,7 @@ from corpuscope.llm.common import Scratch, bounded_batches, grouped_batches
 LENGTH = 2048
 PER_SHARD = 4096
 ROUNDS = 6
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 # Fixed value: the split pattern of the byte-level vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
