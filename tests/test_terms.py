@@ -39,6 +39,13 @@ def test_counting_terms_moves_no_text(notes):
         assert moved and not any("transcription" in line for line in moved)
 
 
+def test_a_vocabulary_counts_terms_once(notes):
+    found = terms.vocabulary(notes(DOCS), max_features=2)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+
+
 def test_document_terms_count_repeats(notes):
     got = {(r.doc_id, r.term): r.tf for r in terms.document_terms(notes(DOCS)).collect()}
     assert got == {(key, w): n for key, text, _ in DOCS for w, n in counts(text).items()}
