@@ -39,6 +39,7 @@ from corpuscope.llm.common import Scratch, bounded_batches, grouped_batches
 LENGTH = 2048
 PER_SHARD = 4096
 ROUNDS = 6
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 CHUNK_BYTES = 4 << 20
 
 # Fixed value: the split pattern of the byte-level vocabulary.
@@ -141,7 +142,7 @@ def write_shards(
             start = int(ends[-1])
 
     texts = documents.select(F.col(text).alias("text")).filter("text is not null and text <> ''")
-    parts = scratch.keep(texts.mapInArrow(tokenise, "task int, start long, ids binary"), "ids", compression="zstd")
+    parts = scratch.keep(texts.mapInArrow(tokenise, "task int, start long, ids binary"), "ids", **PACKED)
     # One row for each task of the scan.
     sizes = parts.groupBy("task").agg(F.max(F.col("start") + F.expr("octet_length(ids) div 2")).alias("n")).orderBy("task").collect()
     offsets = dict(zip((r.task for r in sizes), itertools.accumulate((r.n for r in sizes), initial=0)))
@@ -151,7 +152,7 @@ def write_shards(
     shared = spark.sparkContext.broadcast(offsets)
 
     def cut(batches):
-        offset, packer = shared.value, zstandard.ZstdCompressor(level=3)
+        offset, packer = shared.value, zstandard.ZstdCompressor(level=6)
         for batch in batches:
             numbers, places, pieces = [], [], []
             for task, start, ids in zip(*(c.to_pylist() for c in batch.columns)):
