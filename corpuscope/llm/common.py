@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from corpuscope.staging import shared_folder
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 1000 rows and 16 MB, so that long texts cannot fill a worker."""
