@@ -11,8 +11,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which no language is likely enough, or that have no words, go."""
-    return language.accepted_documents(docs, language.fit(docs))
+    """Documents of no known language, or that have no words, go."""
+    return language.accepted_documents(docs, language.fit(docs, unknown=True))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,8 +54,8 @@ def op4_language(spark, sf):
     """``lang`` is what the metadata declares, ``source`` the host."""
     docs = table(spark, sf, "documents")
     return language.identify(
-        docs, language.fit(docs), text=F.col("text"), declared=F.col("lang"), host=F.col("source"),
-        keep={"doc_id": F.col("doc_id")},
+        docs, language.fit(docs, unknown=True), text=F.col("text"), declared=F.col("lang"), host=F.col("source"),
+        keep={"doc_id": F.col("doc_id")}, key=F.col("doc_id"),
     )
 
 
@@ -64,7 +64,7 @@ def language_of_pages(spark, sf):
     """The same for raw pages: declared by the markup, with the address's host and suffix."""
     pages = table(spark, sf, "pages")
     return language.identify(
-        pages, language.fit(table(spark, sf, "documents")), text=language.visible_text(F.col("html")),
+        pages, language.fit(table(spark, sf, "documents"), unknown=True), text=language.visible_text(F.col("html")),
         declared=language.declared_in(F.col("html")), host=language.host_of(F.col("url")),
         keep={"page_id": F.col("page_id"), "url": F.col("url")},
     )

@@ -84,3 +84,50 @@ def test_odd_and_empty_tables(odd, none, labelled):
     assert L.accepted_documents(odd, model).count() == 6  # NULL, empty and blank texts go
     assert judge(none, model, "lang", "source") == {}
     assert {r.language for r in judge(odd, L.fit(none)).values()} == {"und"}
+
+
+def test_unseen_trigrams_favour_no_language(documents):
+    rng = random.Random(4)
+    rows = [(100 * k + i, text(lang, 40, rng), lang, None) for k, (lang, n) in enumerate((("aa", 90), ("bb", 5), ("cc", 30))) for i in range(n)]
+    (*total, und), _ = L.fit(documents(rows), unknown=True).log_likelihood("zzgz wgzw".encode())
+    assert total[0] == pytest.approx(total[1]) == pytest.approx(total[2])
+    assert und > total[0] + 1
+
+
+FOREIGN = ["Questo testo non appartiene a nessuna delle lingue", "vzpg hwqj xgzv pphw jjgz qwvz", "это русский текст", "日本語のテキストです", "x" * 5000, "aGVsbG8gd29ybGQgdGhpcyBpcw=="]
+
+
+def test_foreign_and_random_text_goes_and_short_clean_text_stays(documents, labelled):
+    rng = random.Random(5)
+    model = L.fit(labelled, unknown=True)
+    clean = [(i, text(lang, n, rng), lang, "h") for i, (lang, n) in enumerate((lang, n) for lang in SYLLABLES for n in (1, 2, 5, 30) for _ in range(5))]
+    # Whatever they declare, and whether or not other rows of their host are clean.
+    junk = [(200 + 10 * i + j, t, lang, host) for i, t in enumerate(FOREIGN) for j, (lang, host) in enumerate([("aa", "h"), (None, None), ("zz", "new")])]
+    docs = documents([*clean, *junk])
+    found = L.identify(docs, model, text=F.col("text"), declared=F.col("lang"), host=F.col("source"), keep={"doc_id": F.col("doc_id")})
+    got = {r.doc_id: r for r in found.collect()}
+    assert all((got[i].language, got[i].accepted) == (lang, True) for i, _, lang, _ in clean)
+    assert {(got[r[0]].language, got[r[0]].accepted) for r in junk} == {("und", False)}
+    kept = L.accepted_documents(docs, model)
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in clean]
+
+
+def test_a_single_language_rejects_others_too(documents):
+    rng = random.Random(6)
+    model = L.fit(documents([(i, text("bb", 40, rng), "bb", None) for i in range(30)]), unknown=True)
+    docs = documents([(1, text("bb", 3, rng), None, None), (2, text("cc", 20, rng), None, None), (3, FOREIGN[1], "bb", None)])
+    assert [r.doc_id for r in L.accepted_documents(docs, model).collect()] == [1]
+
+
+def test_the_stage_and_the_queries_reject_unknown_text(spark, documents, tmp_path):
+    import corpus_pipeline
+    from corpuscope.llm.queries import QUERIES
+
+    rng = random.Random(7)
+    rows = [(100 * k + i, text(lang, 40, rng), lang, "h") for k, lang in enumerate(SYLLABLES) for i in range(30)] + [(900 + i, t, "aa", "h") for i, t in enumerate(FOREIGN)]
+    docs = documents(rows)
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()} == {r[0] for r in rows if r[0] < 900}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "https://a.b/", f"<p>{rows[0][1]}</p>"), (2, "https://a.b/c", "<p>hvvq xxzp wjgk qpzv jwxg zzhv</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.doc_id for r in QUERIES["op4_language"](spark, str(tmp_path)).collect() if not r.accepted} == {r[0] for r in rows if r[0] >= 900}
+    assert {r.page_id: r.accepted for r in QUERIES["language_of_pages"](spark, str(tmp_path)).collect()} == {1: True, 2: False}
