@@ -13,7 +13,7 @@ and only if they share a centre, which is the fingerprint itself or one with a s
 centre has at most 65 members, whatever the bucket's size.
 
 Defined cases: a text without words, or NULL, has fingerprint zero and is linked like any other. Rows that
-repeat a doc_id are one document; the smallest doc_id names the component. Rows with a NULL doc_id have
+repeat a doc_id are judged each by its own text; the smallest doc_id names the component. Rows with a NULL doc_id have
 a fingerprint, and are in no component (component_id is NULL) and link nothing.
 """
 
@@ -58,17 +58,22 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp``, the 64-bit fingerprint as a signed long, for each row."""
+    """``doc_id``, ``same`` (a hash of the text) and ``fp``, the 64-bit fingerprint as a signed long, for each row."""
 
     def run(batches):
         for rows in batches:
             bits = [fingerprint(value) for value in as_bytes(rows.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(np.array(bits, dtype=np.uint64).view(np.int64))], names=["doc_id", "fp"]
+                [rows.column("doc_id"), rows.column("same"), pa.array(np.array(bits, dtype=np.uint64).view(np.int64))],
+                names=["doc_id", "same", "fp"],
             )
 
-    source = packed(documents, doc_id=F.col(key).cast("long"), text=F.col(text)).select("doc_id", "text")
-    return source.mapInArrow(run, "doc_id long, fp long")
+    source = packed(documents, doc_id=F.col(key).cast("long"), same=_same(text), text=F.col(text)).select("doc_id", "same", "text")
+    return source.mapInArrow(run, "doc_id long, same long, fp long")
+
+
+def _same(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _rotated(fp: Column, start: int) -> Column:
@@ -113,6 +118,11 @@ def links(distinct: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFr
 
 def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of each row."""
+    return _judged(documents, key, text, bucket).drop("same")
+
+
+def _judged(documents: DataFrame, key: str, text: str, bucket: int = BUCKET) -> DataFrame:
+    """The same, with the hash of the row's text."""
     scratch = Scratch(documents.sparkSession, "simhash")
     prints = scratch.keep(fingerprints(documents, key=key, text=text), "prints")
     # Copies meet inside each task, so a text that a third of the rows hold is one row of each.
@@ -127,7 +137,7 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
     # fp -> component_id, told only where it is not the fingerprint's own smallest document.
     named = members.join(groups, "root").select(F.col("fp").alias("of"), "component_id")
     return prints.join(named, F.col("fp") == F.col("of"), "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "doc_id", "same", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
 
@@ -135,10 +145,12 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
 def representatives(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents, with all their columns, that name their component; rows with a NULL key stay.
 
-    The others are a narrow table of keys, and its size on disk decides how it is joined.
+    Rows are told apart by key and text, so that a key which repeats with another text keeps or loses each on its own. The
+    rows that go are a narrow table, and its size on disk decides how it is joined.
     """
     scratch = Scratch(documents.sparkSession, "representatives")
-    members = near_duplicates(documents, key=key, text=text, **options)
-    gone = scratch.keep(members.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    # Rows that repeat the key of a document that stays are that document.
-    return unpacked(packed(documents, key=F.col(key).cast("long")).join(gone, F.col("key") == F.col("gone"), "left_anti"))
+    members = _judged(documents, key, text, **options)
+    gone = members.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone"), F.col("same").alias("gone_text"))
+    gone = scratch.keep(gone.distinct(), "gone")
+    rows = packed(documents, key=F.col(key).cast("long"), same=_same(text))
+    return unpacked(rows.join(gone, (F.col("key") == F.col("gone")) & (F.col("same") == F.col("gone_text")), "left_anti"))

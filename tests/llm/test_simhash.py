@@ -93,6 +93,12 @@ def test_one_document_of_each_group_stays(documents):
     assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 3, 3, 9]
 
 
+def test_a_key_with_two_texts_keeps_one_copy_of_each(documents):
+    a, b = "one text that two documents of this table hold", "quite another text which is also held by two documents here"
+    left = S.representatives(documents([(3, a), (5, a), (5, b), (9, b)]))
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(3, a), (5, b)]
+
+
 def test_odd_and_empty_tables(odd, none):
     rows = S.near_duplicates(odd).collect()
     assert len(rows) == 9
