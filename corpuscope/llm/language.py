@@ -26,7 +26,9 @@ sample of at most ``per_language`` labelled texts of each language (whole texts,
 
 Defined cases: a text that is NULL, empty or without a letter gives no evidence; other evidence then decides. A
 document is accepted if its best posterior is at least ``threshold``, its text has a letter trigram, and its best class
-is a known language. The label ``und`` counts as none.
+is a known language. Labels and declarations are reduced to their primary subtag (``en-US`` and ``en_GB`` are ``en``).
+What is no tag, ``und``, and labels beyond the ``MOST_LANGUAGES`` that most texts have (ties by name) count as none for
+the fit, and as ``other`` where declared.
 Missing declarations, suffixes or hosts give no evidence. Ties go to the first language by name. Repeated rows are
 judged alike, each as a row of its own. Without a labelled text there is one language, ``und``, which is then accepted,
 as there is nothing to tell it from.
@@ -126,13 +128,12 @@ def fit(
 ) -> TextModel:
     """Trigram model from at most ``per_language`` texts of each language, with the class ``und`` if ``unknown``; runs two jobs."""
     rows = labelled.select(
-        F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"), F.lower(F.col(label)).alias("label")
-    ).filter(f"label is not null and label <> '' and label <> '{UNKNOWN}' and text is not null")
-    counts = {r.label: r["count"] for r in rows.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()}
+        F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"), primary_tag(F.col(label)).alias("label")
+    ).filter(f"label is not null and label <> '{UNKNOWN}' and text is not null")
+    most = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES)
+    counts = {r.label: r["count"] for r in most.collect()}
     if not counts:
         return TextModel([UNKNOWN], np.full((BUCKETS, 1), -np.log(BUCKETS), dtype=np.float32))
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} different languages")
     languages = sorted(counts)
     # Cut by hash first: about the number wanted, with a margin. The exact rank then works on few rows.
     cut = F.lit(None).cast("double")
@@ -181,6 +182,12 @@ def _place(h: Column) -> Column:
     return F.pmod(h, F.lit(1 << 30))
 
 
+def primary_tag(tag: Column) -> Column:
+    """Primary subtag of a language tag, in lower case; NULL for what is no tag."""
+    found = F.regexp_extract(tag, r"^\s*([A-Za-z]{2,8})(?:[-_.@][A-Za-z0-9]+)*\s*$", 1)
+    return F.when(found != "", F.lower(found))
+
+
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
@@ -245,9 +252,9 @@ def identify(
     if key is not None and model.last:
         place = _place(F.xxhash64(key.cast("string")))
         for name, last in model.last.items():
-            counted = F.when((F.lower(declared) == name) & (place <= last), F.lit(name)).otherwise(counted)
+            counted = F.when((primary_tag(declared) == name) & (place <= last), F.lit(name)).otherwise(counted)
     source = documents.select(
-        F.struct(*[c.alias(k) for k, c in keep.items()]).alias("kept"), F.lower(declared).alias("declared"),
+        F.struct(*[c.alias(k) for k, c in keep.items()]).alias("kept"), F.coalesce(primary_tag(declared), F.lower(declared)).alias("declared"),
         F.when(host != "", F.lower(host)).alias("host"), text.alias("text"), counted.alias("counted"),
     )
     kind = source.schema["kept"].dataType.simpleString()

@@ -131,3 +131,16 @@ def test_the_stage_and_the_queries_reject_unknown_text(spark, documents, tmp_pat
     spark.createDataFrame([(1, "https://a.b/", f"<p>{rows[0][1]}</p>"), (2, "https://a.b/c", "<p>hvvq xxzp wjgk qpzv jwxg zzhv</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert {r.doc_id for r in QUERIES["op4_language"](spark, str(tmp_path)).collect() if not r.accepted} == {r[0] for r in rows if r[0] >= 900}
     assert {r.page_id: r.accepted for r in QUERIES["language_of_pages"](spark, str(tmp_path)).collect()} == {1: True, 2: False}
+
+
+def test_regional_dirty_and_many_labels(documents, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 3)
+    rng = random.Random(8)
+    tags = {"aa": ["aa-US", "AA_gb", "aa"], "bb": ["bb"], "cc": ["cc-x"]}
+    rows = [(100 * k + i, text(lang, 40, rng), tags[lang][i % len(tags[lang])], "h") for k, lang in enumerate(SYLLABLES) for i in range(30)]
+    rows += [(400 + i, text("aa", 40, rng), tag, "h") for i, tag in enumerate(["free text, no tag", "zz", "yy", "und", "", "7"])]
+    docs = documents(rows)
+    model = L.fit(docs, unknown=True)
+    assert model.languages == ["aa", "bb", "cc"]
+    got = judge(docs, model, "lang", "source")
+    assert all(r.accepted for r in got.values()) and all(got[i].language == "aa" for i in [*range(30), *range(400, 406)])
