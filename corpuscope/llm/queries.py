@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscope.llm import (
-    decontamination, language, licenses, line_dedup, quality, search, secrets, sentencepiece, simhash,
+    decontamination, language, licenses, line_dedup, periodic, quality, search, secrets, sentencepiece, simhash,
     training_order,
 )
 from corpuscope.llm.common import Scratch, read_file
@@ -121,3 +121,30 @@ def op1_training_order(spark, sf):
     path = Scratch(spark, "shards").path
     training_order.write_shards(table(spark, sf, "documents"), path, read_file(spark, RANKS), key=20)
     return training_order.read_slots(spark, path)
+
+
+def with_repeated_tail(key: Column, text: Column) -> Column:
+    """The text's words, those of every tenth document by hash with a tail that repeats: from word a on, with period p."""
+    hashed = F.crc32(key.cast("string").cast("binary"))
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n = F.size(words)
+    g = F.floor(hashed / 10)
+    a = (g % n).cast("int")
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % p))
+    repeated = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return F.when((hashed % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), repeated).otherwise(text)
+
+
+@query
+def op11_periodic_runs(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", with_repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.find_runs(docs, F.col("text"))
+    # Longest first, then the smallest start and period: the least of (-length, start, period).
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return found.withColumn("top", top).select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"), (-F.col("top.less")).alias("length"),
+        F.col("top.period").alias("period"), F.floor(-F.col("top.less") * 1000 / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
