@@ -135,3 +135,26 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_a
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM doc LEFT JOIN listed USING (r)
 """
+
+ORACLE["op12_embedding_dedup"] = """
+WITH RECURSIVE row AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), v AS (
+  SELECT *, len(e) AS dims, sqrt(list_sum(list_transform(e, lambda c: c * c))) AS norm FROM row
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0 AND len(list_filter(e, lambda c: c <> 0)) > 0
+), link AS (
+  SELECT a.r, b.r AS other, b.vec_id AS other_id FROM v AS a JOIN v AS b ON a.label = b.label AND a.dims = b.dims AND a.r <> b.r
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach AS (
+  SELECT r, vec_id FROM row
+  UNION
+  SELECT link.other, reach.vec_id FROM reach JOIN link USING (r)
+), linked AS (
+  SELECT r, count(*) AS n FROM link GROUP BY r
+), component AS (
+  SELECT r, min(vec_id) AS component_id FROM reach GROUP BY r
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, true) AS kept
+FROM row LEFT JOIN linked USING (r) LEFT JOIN component USING (r)
+"""

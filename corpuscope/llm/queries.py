@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscope.llm import (
-    decontamination, language, licenses, line_dedup, periodic, quality, search, secrets, sentencepiece, simhash,
-    training_order,
+    decontamination, embedding_dedup, language, licenses, line_dedup, periodic, quality, search, secrets, sentencepiece, simhash,
+    training_order, whitening,
 )
 from corpuscope.llm.common import Scratch, read_file
 
@@ -126,13 +126,22 @@ def op1_training_order(spark, sf):
 def with_repeated_tail(key: Column, text: Column) -> Column:
     """The text's words, those of every tenth document by hash with a tail that repeats: from word a on, with period p."""
     hashed = F.crc32(key.cast("string").cast("binary"))
-    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    n = F.size(words)
     g = F.floor(hashed / 10)
-    a = (g % n).cast("int")
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
-    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % p))
-    repeated = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+
+    def once(value: Column, use) -> Column:
+        """``use`` of a value that is computed once, not at each place (or element) that names it."""
+        return F.transform(F.array(value), use)[0]
+
+    def tail(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+        return once(F.struct(a.alias("a"), p.alias("p")), lambda at: F.concat(
+            F.slice(words, F.lit(1), at.a), F.transform(F.sequence(at.a, n - 1), lambda i: F.get(words, at.a + (i - at.a) % at.p))
+        ))
+
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    repeated = F.array_join(once(words, tail), " ")
     return F.when((hashed % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), repeated).otherwise(text)
 
 
@@ -148,3 +157,27 @@ def op11_periodic_runs(spark, sf):
         F.col("top.period").alias("period"), F.floor(-F.col("top.less") * 1000 / F.col("top.period")).alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_embedding_dedup(spark, sf):
+    found = embedding_dedup.near_duplicates(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select("row.vec_id", "n_links", "component_id", "kept")
+
+
+def fixed_point(vector: Column) -> Column:
+    """floor(64 * c) + 1000000 of every entry; NULL if an entry is NULL or no number of at most 2^40 (1,100,000,000,000)."""
+    usable = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) <= float(1 << 40)))
+    return F.when(usable, F.transform(vector, lambda c: F.floor(c.cast("double") * 64) + 1000000))
+
+
+@query
+def op13_whitening(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    x = fixed_point(F.col("embedding"))
+    rows = rows.select("vec_id", "embedding")
+    white = whitening.whiten(rows, x, whitening.fit(rows, x))
+    # A deviation beyond the range of a long is NULL.
+    return white.select("row.vec_id", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "identity_error", F.explode("components").alias("c")).select(
+        "vec_id", "c.component", "n", "deviation", "c.whitened", "c.explained", "identity_error"
+    )
