@@ -91,6 +91,8 @@ def frequency(source: str, label: str) -> str:
         FROM (SELECT {label}, count(*) AS n FROM {source} WHERE {label} IS NOT NULL GROUP BY {label}))"""
 
 
+PRICES = "prices AS (SELECT l_returnflag, l_extendedprice * (1 - l_discount) AS net FROM lineitem)"
+
 STATS = f"""
   {words("text")} AS word_count,
   coalesce(length(text), 0)::BIGINT AS char_len,
@@ -339,6 +341,27 @@ SELECT lang, q1, median, q3, count(*) AS n_rows,
   greatest(max(word_count::DOUBLE) FILTER (inside), q3) AS whisker_high,
   count(*) FILTER (NOT inside) AS outliers
 FROM m GROUP BY lang, q1, median, q3""",
+    "describe_prices": f"""WITH {PRICES}
+SELECT l_returnflag, 'net' AS metric, count(net) AS count, {rnd("avg(net)", 3)} AS mean, {rnd("stddev_samp(net)", 3)} AS std,
+  {rnd("min(net)", 3)} AS min, {", ".join(f"{rnd(f'quantile_cont(net, {q / 100})', 3)} AS q{q}" for q in (25, 50, 75))},
+  {rnd("max(net)", 3)} AS max FROM prices GROUP BY l_returnflag""",
+    "price_bounds": f"""WITH {PRICES},
+q AS (SELECT l_returnflag, quantile_cont(net, 0.25) AS a, quantile_cont(net, 0.75) AS b FROM prices GROUP BY l_returnflag)
+SELECT l_returnflag, {rnd("a", 6)} AS q1, {rnd("b", 6)} AS q3, {rnd("a - 1.5 * (b - a)", 6)} AS lower_bound,
+  {rnd("b + 1.5 * (b - a)", 6)} AS upper_bound FROM q""",
+    "price_outliers": f"""WITH {PRICES},
+q AS (SELECT quantile_cont(net * net, 0.25) AS a, quantile_cont(net * net, 0.75) AS b FROM prices)
+SELECT l_returnflag, count(*) AS n FROM prices, q
+WHERE net * net < a - 1.5 * (b - a) OR net * net > b + 1.5 * (b - a) GROUP BY l_returnflag""",
+    "part_frequency": frequency("lineitem", "l_partkey"),
+    "part_pareto": f"""SELECT l_partkey, n, position, {rnd("share", 8)} AS cumulative_pct, share >= 80 AS reaches_cut FROM (
+  SELECT l_partkey, n, row_number() OVER (ORDER BY n DESC, l_partkey) AS position,
+    sum(n) OVER (ORDER BY n DESC, l_partkey ROWS UNBOUNDED PRECEDING) / (sum(n) OVER ())::DOUBLE * 100.0 AS share
+  FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey))""",
+    "part_weights": f"""SELECT l_partkey, n, {rnd("sum(n) OVER () / (count(*) OVER () * n)::DOUBLE", 8)} AS weight
+FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey)""",
+    "part_quotas": f"""WITH {split_ctes("(SELECT *, l_orderkey * 8 + l_linenumber AS doc_id FROM lineitem)", "l_partkey")}
+SELECT label AS l_partkey, n, n_test, n_val, n_train FROM quotas""",
     "readability": f"WITH {scored('documents')} SELECT * EXCLUDE (lang) FROM scored",
     "describe_readability": f"""WITH {scored('documents')}
 {described("scored", ("flesch_reading_ease", "flesch_kincaid_grade", "gunning_fog", "coleman_liau"), 2)}""",

@@ -331,6 +331,53 @@ def box_summary(spark, sf):
     return distributions.box_summary(measured_notes(spark, sf), "word_count", "lang")
 
 
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line prices: a metric of nearly as many values as rows."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", net.cast("double").alias("net"))
+
+
+@query
+def describe_prices(spark, sf):
+    return distributions.describe(prices(spark, sf), ["net"], ["l_returnflag"], digits=3)
+
+
+@query
+def price_bounds(spark, sf):
+    found = distributions.iqr_bounds(prices(spark, sf), "net", ["l_returnflag"])
+    return found.select("l_returnflag", *[round_even(F.col(c), 6).alias(c) for c in ("q1", "q3", "lower_bound", "upper_bound")])
+
+
+@query
+def price_outliers(spark, sf):
+    found = distributions.outlier_rows(prices(spark, sf).withColumn("net", F.col("net") * F.col("net")), "net")
+    return found.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def part_frequency(spark, sf):
+    """Labels by the thousand: no task sums over all of them."""
+    return labels.label_frequency(prices(spark, sf), "l_partkey")
+
+
+@query
+def part_pareto(spark, sf):
+    return labels.pareto(prices(spark, sf), "l_partkey").withColumn("cumulative_pct", round_even(F.col("cumulative_pct"), 8))
+
+
+@query
+def part_weights(spark, sf):
+    found = labels.class_weights(prices(spark, sf), "l_partkey")
+    return found.withColumn("weight", round_even(F.col("weight"), 8))
+
+
+@query
+def part_quotas(spark, sf):
+    """Split sizes of thousands of labels, by largest remainders."""
+    counts = labels.label_counts(prices(spark, sf), "l_partkey")
+    return splitting.split_quotas(counts, "l_partkey", 0.15, 0.15)
+
+
 @query
 def readability(spark, sf):
     return scored_notes(spark, sf).drop("lang")

@@ -2,8 +2,9 @@
 
 Everything but the row filter works on a frequency table ``(group, metric, value, n)``.
 It is built by one aggregation spread over all values, and is as long as the number of
-distinct values, not of documents; the exact quantiles then read that table alone. Where a
-result needs the table twice it is computed once and kept, so texts are measured once.
+distinct values, not of documents. For quantiles it is stored in order of value, cut into
+ranges, and read again only where a wanted rank lies (:mod:`corpuscope.operators.ordering`), so a metric
+of arbitrary doubles spreads like any other. What takes quantiles runs these jobs when called.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscope.functions.numeric import percent, round_even
+from corpuscope.operators import ordering
 from corpuscope.staging import measured
 
 WHISKER = 1.5
@@ -28,8 +30,7 @@ def value_frequencies(df: DataFrame, metrics: Sequence[str], by: Sequence[str] =
     )
 
 
-def _quantile(share: float) -> Column:
-    return F.percentile("value", F.lit(share), F.col("n"))
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def describe(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), digits: int = 1) -> DataFrame:
@@ -38,25 +39,22 @@ def describe(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), digi
     The deviation is summed about the mean in a second pass over the frequencies, which are computed once (a job).
     """
     value, n = F.col("value"), F.col("n").cast("double")
-    frequencies = measured(value_frequencies(df, metrics, by))
-    means = frequencies.groupBy(*[F.col(g).alias(f"_{g}") for g in (*by, "metric")]).agg(
-        (F.sum(value * n) / F.sum(n)).alias("_mean")
-    )
-    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in (*by, "metric")]
-    centred = frequencies.join(means, same).withColumn("_off", value - F.col("_mean"))
-    stats = centred.groupBy(*by, "metric", "_mean").agg(
+    keys = [*by, "metric"]
+    frequencies = ordering.in_order(value_frequencies(df, metrics, by), *keys, "value")
+    means = frequencies.groupBy(*keys).agg((F.sum(value * n) / F.sum(n)).alias("_mean"))
+    centred = frequencies.join(ordering.prefixed(means, keys), ordering.same(keys)).withColumn("_off", value - F.col("_mean"))
+    stats = centred.groupBy(*keys, "_mean").agg(
         F.sum("n").alias("count"),
         F.sum(F.col("_off") * F.col("_off") * n).alias("_s2"),
         F.min("value").alias("min"),
-        _quantile(0.25).alias("q25"),
-        _quantile(0.5).alias("q50"),
-        _quantile(0.75).alias("q75"),
         F.max("value").alias("max"),
     )
+    quartiles = ordering.quantiles(frequencies, QUARTILES, keys)
+    stats = stats.join(ordering.prefixed(quartiles, keys), ordering.same(keys))
     count = F.col("count").cast("double")
     std = F.when(count > 1, F.sqrt(F.col("_s2") / (count - 1)))
     ordered = {"mean": F.col("_mean"), "std": std}
-    ordered |= {name: F.col(name) for name in ("min", "q25", "q50", "q75", "max")}
+    ordered |= {name: F.col(name) for name in ("min", *QUARTILES, "max")}
     return stats.select(
         *by, "metric", "count",
         *[round_even(expr, digits).alias(name) for name, expr in ordered.items()],
@@ -65,23 +63,20 @@ def describe(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), digi
 
 def medians(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Exact median of each metric per group, as one column ``median_<metric>`` each."""
-    wide = value_frequencies(df, metrics, by).groupBy(*by).agg(
-        *[
-            F.percentile(F.when(F.col("metric") == name, F.col("value")), F.lit(0.5), F.col("n"))
-            .alias(f"median_{name}")
-            for name in metrics
-        ]
+    keys = [*by, "metric"]
+    long = ordering.quantiles(ordering.in_order(value_frequencies(df, metrics, by), *keys, "value"), {"median": 0.5}, keys)
+    return long.groupBy(*by).agg(
+        *[F.max(F.when(F.col("metric") == name, F.col("median"))).alias(f"median_{name}") for name in metrics]
     )
-    return wide
 
 
 def iqr_bounds(df: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles and the bounds 1.5 interquartile ranges outside them."""
-    return _bounds(value_frequencies(df, [metric], by), by)
+    return _bounds(ordering.in_order(value_frequencies(df, [metric], by), *by, "value"), by)
 
 
 def _bounds(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    quartiles = frequencies.groupBy(*by).agg(_quantile(0.25).alias("q1"), _quantile(0.75).alias("q3"))
+    quartiles = ordering.quantiles(frequencies, {"q1": 0.25, "q3": 0.75}, by)
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     return quartiles.select(
         *by, "q1", "q3", (F.col("q1") - reach).alias("lower_bound"), (F.col("q3") + reach).alias("upper_bound")
@@ -101,7 +96,7 @@ def outlier_rows(df: DataFrame, metric: str) -> DataFrame:
 
 def outlier_summary(df: DataFrame, metric: str) -> DataFrame:
     """One row: bounds, number and percent of outliers, how many are short and long."""
-    frequencies = measured(value_frequencies(df, [metric]))
+    frequencies = ordering.in_order(value_frequencies(df, [metric]), "value")
     counted = frequencies.select("value", "n", _one_row(_bounds(frequencies)).alias("b"))
     short = F.col("value") < F.col("b.lower_bound")
     long = F.col("value") > F.col("b.upper_bound")
@@ -154,10 +149,8 @@ def box_summary(df: DataFrame, metric: str, by: str) -> DataFrame:
 
     Whiskers reach no further in than the quartiles. Ordered by falling median.
     """
-    frequencies = measured(value_frequencies(df.where(F.col(by).isNotNull()), [metric], [by]))
-    quartiles = frequencies.groupBy(by).agg(
-        _quantile(0.25).alias("q1"), _quantile(0.5).alias("median"), _quantile(0.75).alias("q3")
-    )
+    frequencies = ordering.in_order(value_frequencies(df.where(F.col(by).isNotNull()), [metric], [by]), by, "value")
+    quartiles = ordering.quantiles(frequencies, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (

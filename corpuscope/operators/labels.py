@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscope.functions.numeric import percent, round_even
+from corpuscope.operators import ordering
 from corpuscope.staging import measured
 
 
@@ -21,25 +22,24 @@ def _ranking(label: str) -> list[Column]:
 def label_frequency(df: DataFrame, label: str) -> DataFrame:
     """Counts with percent and cumulative percent, rounded before they are summed.
 
-    The windows run over one row per label, never over documents.
+    Runs the jobs that count the labels and store them in order, so that no task sums over all labels.
     """
-    counts = label_counts(df, label)
-    pct = round_even(percent(F.col("n"), F.sum("n").over(Window.partitionBy())), 2)
-    running = Window.orderBy(*_ranking(label)).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.select(label, "n", pct.alias("pct")).select(
-        label, "n", "pct", round_even(F.sum("pct").over(running), 2).alias("cumulative_pct")
+    ranked = ordering.in_order(label_counts(df, label), *_ranking(label))
+    total = ranked.agg(F.sum("n")).scalar()
+    # Hundredths are whole numbers, which have the same sum in any order.
+    hundredths = F.rint(percent(F.col("n"), total) * 100.0).cast("long")
+    summed = ordering.running_sums(ranked.withColumn("_pct", hundredths), {"pct": F.col("_pct")})
+    return summed.select(
+        label, "n", (F.col("_pct") / F.lit(100.0)).alias("pct"), (F.col("pct_upto") / F.lit(100.0)).alias("cumulative_pct")
     )
 
 
 def pareto(df: DataFrame, label: str, cut: float = 80.0) -> DataFrame:
-    """Unrounded cumulative percent by falling count, and whether it reaches ``cut``."""
-    counts = label_counts(df, label)
-    order = Window.orderBy(*_ranking(label))
-    running = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    cumulative = percent(running, F.sum("n").over(Window.partitionBy()))
-    return counts.select(
-        label, "n", F.row_number().over(order).cast("long").alias("position"),
-        cumulative.alias("cumulative_pct"),
+    """Unrounded cumulative percent by falling count, and whether it reaches ``cut``; runs jobs as :func:`label_frequency`."""
+    ranked = ordering.in_order(label_counts(df, label), *_ranking(label))
+    summed = ordering.running_sums(ranked, {"n": F.col("n"), "rows": F.lit(1)})
+    return summed.select(
+        label, "n", F.col("rows_upto").alias("position"), percent(F.col("n_upto"), F.col("n_total")).alias("cumulative_pct"),
     ).withColumn("reaches_cut", F.col("cumulative_pct") >= F.lit(cut))
 
 
@@ -122,9 +122,7 @@ def distinct_labels(df: DataFrame, label: str) -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weights: rows / (labels x rows of the label)."""
-    counts = label_counts(df, label)
-    everything = Window.partitionBy()
-    total = F.sum("n").over(everything).cast("double")
-    labels = F.count(F.lit(1)).over(everything)
-    return counts.select(label, "n", (total / (labels * F.col("n"))).alias("weight"))
+    """Balanced weights: rows / (labels x rows of the label); runs the job that counts the labels."""
+    counts = measured(label_counts(df, label))
+    whole = counts.agg(F.struct(F.sum("n").cast("double").alias("rows"), F.count(F.lit(1)).alias("labels"))).scalar()
+    return counts.select(label, "n", (whole["rows"] / (whole["labels"] * F.col("n"))).alias("weight"))
