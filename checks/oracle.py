@@ -452,6 +452,25 @@ GROUP BY split, lang ORDER BY split, n_rows DESC, label LIMIT 15""",
 ORDER BY CASE split WHEN 'train' THEN 0 WHEN 'val' THEN 1 ELSE 2 END, lang, word_count, doc_id LIMIT 10""",
     "class_weights": f"""SELECT lang, n, {rnd("sum(n) OVER () / (count(*) OVER () * n)::DOUBLE", 8)} AS weight
 FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)""",
+    "baseline_optimum": f"""WITH {READY}
+SELECT lang AS label, n, {rnd("sum(n) OVER () / (count(*) OVER () * n)::DOUBLE", 8)} AS weight, 0.0::DOUBLE AS steepest
+FROM (SELECT lang, count(*) AS n FROM assigned WHERE split = 'train' GROUP BY lang)""",
+    "marked_predictions": f"""WITH {READY}
+SELECT doc_id, lang AS label, split, lang AS prediction FROM assigned WHERE split <> 'train'""",
+    "marked_report": f"""WITH {READY}, v AS (SELECT lang, count(*) AS n FROM assigned WHERE split = 'val' GROUP BY lang)
+SELECT lang AS label, 1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, n AS support FROM v
+UNION ALL SELECT 'accuracy', NULL, NULL, 1.0, sum(n)::BIGINT FROM v
+UNION ALL SELECT name, 1.0, 1.0, 1.0, sum(n)::BIGINT FROM v, (VALUES ('macro avg'), ('weighted avg')) AS t(name) GROUP BY name""",
+    "refused_inputs": """SELECT * FROM (VALUES
+  ('columns', 'Dataset missing required columns: [''label'', ''split'']'),
+  ('columns present', ''),
+  ('no training rows', 'shares test=0.5, val=0.5 leave 0.0 for training; test and training need some'),
+  ('no test rows', 'shares test=0.0, val=0.2 leave 0.8 for training; test and training need some'),
+  ('sizes taken', ''),
+  ('single rows', 'a label has a single row where two sides need one each'),
+  ('empty side', 'the val side has no rows'),
+  ('one label', 'The classifier needs at least two labels.')
+) AS t("case", message)""",
     "confusion": f"""WITH {GUESSED} SELECT label AS truth, prediction, count(*) AS n FROM guessed GROUP BY label, prediction""",
     "classification_report": f"""WITH {GUESSED}
 SELECT label, {rnd("p", 8)} AS "precision", {rnd("r", 8)} AS recall, {rnd("f", 8)} AS f1, support FROM scores

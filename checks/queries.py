@@ -608,6 +608,77 @@ def baseline_report(spark, sf):
     return train.train_baseline(stage(train_ready_notes(spark, sf), "train_ready"), f"{root}/model", f"{root}/metrics").report
 
 
+@query
+def baseline_optimum(spark, sf):
+    """The gradient of the objective at the fitted coefficients, summed by joins: zero for every label, so the fit is the optimum."""
+    ready = stage(train_ready_notes(spark, sf), "train_ready")
+    rows = splitting.select_split(ready, "train")
+    model = classifier.fit_baseline(rows, tol=1e-8)
+    weights = labels.class_weights(rows, "label")
+    pulls = []
+    for k, name in enumerate(model.labels):
+        signed = F.when(F.col("label") == name, 1.0).otherwise(-1.0)
+        pulls.append(F.when(F.col("label") == name, F.col("weight")).otherwise(1.0) * -signed / (1 + F.exp(signed * F.col("margins")[k])))
+    pulled = model.margins(rows, ["label"]).join(weights, "label").select("doc_id", F.array(*pulls).alias("pull"))
+    cells = model.features.transform(rows).select("doc_id", F.explode(F.arrays_zip("features.indices", "features.values")).alias("cell"))
+    slopes = cells.join(pulled, "doc_id").groupBy(F.col("cell.indices").alias("index")).agg(
+        *[F.sum(F.col("cell.values") * F.col("pull")[k]).alias(f"slope_{k}") for k in range(len(model.labels))]
+    ).join(model.coefficients, "index")
+    steepest = slopes.agg(*[F.max(F.abs(F.col("weights")[k] + F.col(f"slope_{k}"))).alias(name) for k, name in enumerate(model.labels)])
+    steepest = steepest.unpivot([], model.labels, "label", "steepest")
+    return weights.join(steepest, "label").select(
+        "label", "n", round_even(F.col("weight"), 8).alias("weight"), round_even(F.col("steepest"), 4).alias("steepest")
+    )
+
+
+def marked_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train-ready notes with a word after each word that names the label, so that SQL knows every prediction."""
+    ready = train_ready_notes(spark, sf_dir)
+    marked = F.regexp_replace("text", F.lit("([\\p{L}]+)"), F.concat(F.lit("$1 mark"), F.col("label")))
+    return stage(ready.withColumn("text", marked), "marked")
+
+
+@query
+def marked_predictions(spark, sf):
+    ready = marked_notes(spark, sf)
+    model = classifier.fit_baseline(splitting.select_split(ready, "train"))
+    return model.predict(ready.where(F.col("split") != "train"), ["label", "split"])
+
+
+@query
+def marked_report(spark, sf):
+    """The training job from end to end, on labels that can be told apart."""
+    root = f"{shared_folder(spark)}/corpuscope/marked-{uuid.uuid4().hex}"
+    return train.train_baseline(marked_notes(spark, sf), f"{root}/model", f"{root}/metrics").report
+
+
+def refusal(case: str, call: Callable[[], object]) -> tuple[str, str]:
+    try:
+        call()
+    except ValueError as error:
+        return case, str(error)
+    return case, ""
+
+
+@query
+def refused_inputs(spark, sf):
+    """What the guards say of these tables; an empty message is an input that is taken."""
+    docs = documents(spark, sf)
+    ready = stage(train_ready_notes(spark, sf), "train_ready")
+    by_key = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    jobs = {
+        "columns": lambda: schema.require_columns(docs, {"doc_id", "label", "split"}),
+        "columns present": lambda: schema.require_columns(docs, {"doc_id", "text"}),
+        "no training rows": lambda: splitting.add_splits(docs, 0.5, 0.5, label="lang"),
+        "no test rows": lambda: splitting.add_splits(docs, 0.0, 0.2, label="lang"),
+        "sizes taken": lambda: splitting.add_splits(docs, 0.2, 0.0, label="lang"),
+        "single rows": lambda: splitting.add_splits(by_key, 0.2, 0.2, label="doc_id", key="n_chars"),
+        "empty side": lambda: train.train_baseline(ready.where("split <> 'val'"), "unused", "unused"),
+        "one label": lambda: classifier.fit_baseline(ready.where(F.col("label") == "en")),
+    }
+    return spark.createDataFrame([refusal(case, call) for case, call in jobs.items()], "case string, message string")
+
+
 @query
 def linear_scores(spark, sf):
     """Scores of a stored model with made-up coefficients, so that SQL can give them: three labels, sub-linear terms."""

@@ -1,33 +1,27 @@
 """Baseline classifier: sub-linear TF-IDF and one-vs-rest logistic regression.
 
 The objective is 1/2 |w|^2 + C * sum(weight * loss), with the intercept inside the
-penalty. Two details carry it over to Spark's estimator:
+penalty: it is a feature of constant value 1. All labels are fitted together (:mod:`corpuscope.operators.logistic`),
+so the passes over the training rows do not grow with the labels.
 
-* the intercept is a feature of constant value 1, and ``fitIntercept`` is off;
-* Spark drops columns of zero variance, so one all-zero row joins the training data. Its
-  loss is ln 2 whatever the coefficients, so the optimum stays where it was.
-
-Terms are counted in the row, and vectors are built as native structs that are staged and read back as
-vectors. Prediction needs no vector: it joins terms with their coefficients and sums per document.
+Terms are counted in the row. Prediction needs no vector: it joins terms with their coefficients and sums per document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import VectorUDT
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as S
 
 from corpuscope.functions.stopwords import ENGLISH
+from corpuscope.operators import logistic
 from corpuscope.operators.cleaning import KEY
 from corpuscope.operators.labels import class_weights
 from corpuscope.operators.terms import counted_terms, vocabulary
-from corpuscope.staging import measured, staged_path
+from corpuscope.staging import measured
 
 INTERCEPT = ""  # no token is empty
 VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"  # how a vector is stored
@@ -132,13 +126,6 @@ def load_model(spark: SparkSession, path: str) -> BaselineModel:
     return BaselineModel(features, list(setup.labels), coefficients)
 
 
-def _binary() -> LogisticRegression:
-    return LogisticRegression(
-        featuresCol="features", labelCol="is_label", weightCol="weight", fitIntercept=False,
-        standardization=False, elasticNetParam=0.0,
-    )
-
-
 def fit_baseline(
     train: DataFrame,
     max_features: int = 20_000,
@@ -146,46 +133,28 @@ def fit_baseline(
     c: float = 1.0,
     max_iter: int = 1000,
     tol: float = 1e-4,
-    parallelism: int = 4,
     stop_words: Sequence[str] = ENGLISH,
     text: str = "text",
     label: str = "label",
     key: str = KEY,
+    on_pass: Callable[[int], None] = lambda unfinished: None,
 ) -> BaselineModel:
     """Fit vocabulary, idf, class weights and one binary model per label on ``train`` only.
 
     Balanced weights fall on the positive rows of each binary task; with two labels there
-    is one task and both sides are weighted.
+    is one task and both sides are weighted. ``on_pass`` is told how many labels each pass over the rows still fits.
     """
-    balance = {row[label]: row for row in class_weights(train, label).collect()}
-    labels, weights = sorted(balance), {name: row.weight for name, row in balance.items()}
+    weights = {row[label]: row.weight for row in class_weights(train, label).collect()}
+    labels = sorted(weights)
     if len(labels) < 2:
         raise ValueError("The classifier needs at least two labels.")
     features = TextFeatures.fit(train, max_features, ngram_range, stop_words, text)
-    spark = train.sparkSession
-    vectors = features.transform(train.where(F.col(label).isNotNull()), [label], text, key).select(label, "features")
-    none = vector(features.size, F.array().cast("array<int>"), F.array().cast("array<double>"))
-    zero = spark.range(1, numPartitions=1).select(F.lit(None).cast(vectors.schema[label].dataType).alias(label), none.alias("features"))
-    rows = spark.read.schema(
-        S.StructType([vectors.schema[label], S.StructField("features", VectorUDT())])
-    ).parquet(staged_path(vectors.unionByName(zero), "features"))
-    total = sum(row.n for row in balance.values())
-
-    def fit(index: int):
-        positive = labels[index]
-        other = weights[labels[1 - index]] if len(labels) == 2 else 1.0
-        mass = balance[positive].n * weights[positive] + (total - balance[positive].n) * other
-        is_label = F.col(label).eqNullSafe(positive)
-        task = rows.select(
-            "features", is_label.cast("double").alias("is_label"),
-            F.when(F.col(label).isNull(), mass).when(is_label, weights[positive]).otherwise(other).alias("weight"),
-        )
-        estimator = _binary().setMaxIter(max_iter).setTol(tol)
-        return estimator.setRegParam(1.0 / (c * 2.0 * mass)).fit(task).coefficients.toArray()
-
-    wanted = [1] if len(labels) == 2 else list(range(len(labels)))
-    with ThreadPool(min(parallelism, len(wanted))) as pool:
-        models = pool.map(fit, wanted)
-    by_index = [(i, [float(m[i]) for m in models]) for i in range(features.size)]
-    table = spark.createDataFrame(by_index, "index int, weights array<double>")
+    vectors = features.transform(train.where(F.col(label).isNotNull()), [label], text, key)
+    chunks = logistic.pack(vectors, F.col("features.indices"), F.col("features.values"), F.col(label), labels)
+    tasks = [1] if len(labels) == 2 else list(range(len(labels)))
+    positive = [weights[labels[k]] for k in tasks]
+    other = [weights[labels[0]]] if len(labels) == 2 else [1.0] * len(tasks)
+    found = logistic.fit(chunks, features.size, tasks, positive, other, c, tol, max_iter, on_pass)
+    by_index = pa.table({"index": pa.array(range(features.size), pa.int32()), "weights": pa.array(list(found), pa.list_(pa.float64()))})
+    table = train.sparkSession.createDataFrame(by_index)
     return BaselineModel(features, labels, measured(features.terms.join(table, "index").select("term", "idf", "index", "weights")))

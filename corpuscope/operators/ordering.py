@@ -41,22 +41,21 @@ def prefixed(df: DataFrame, columns: Sequence[str], prefix: str = "_of_") -> Dat
 def offsets(ordered: DataFrame, sums: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """For each range (and group in it): ``<name>_before``, ``<name>_here`` and ``<name>_total`` of every sum.
 
-    At most one row for each range and each group more; runs the job that counts them. The group's columns must
-    lead the order.
+    At most one row for each range, and one more for each group, whose columns must lead the order.
     """
     here = ordered.groupBy(*by, RANGE).agg(*[F.sum(value).alias(f"{name}_here") for name, value in sums.items()])
     group = Window.partitionBy(*by)
     earlier = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    return measured(here.select(
+    return here.select(
         *by, RANGE, *[F.col(f"{name}_here") for name in sums],
         *[F.coalesce(F.sum(f"{name}_here").over(earlier), F.lit(0)).alias(f"{name}_before") for name in sums],
         *[F.sum(f"{name}_here").over(group).alias(f"{name}_total") for name in sums],
-    ))
+    )
 
 
 def running_sums(ordered: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
-    """The rows with ``<name>_upto``, the sum up to and with the row, and ``<name>_total``, of every sum; runs a job."""
-    before = offsets(ordered, sums)
+    """The rows with ``<name>_upto``, the sum up to and with the row, and ``<name>_total``, of every sum."""
+    before = F.broadcast(offsets(ordered, sums))  # one row for each range
     inside = Window.partitionBy(RANGE).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
     upto = ordered.select("*", *[F.sum(value).over(inside).alias(f"{name}_inside") for name, value in sums.items()])
     return upto.join(before, RANGE).select(
@@ -67,8 +66,8 @@ def running_sums(ordered: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
 
 
 def numbered(ordered: DataFrame, name: str) -> DataFrame:
-    """The rows with their position in the whole order, from 1, as ``name``; runs a job and shuffles nothing."""
-    before = offsets(ordered, {"rows": F.lit(1)}).select(RANGE, "rows_before")
+    """The rows with their position in the whole order, from 1, as ``name``; shuffles nothing but counts of the ranges."""
+    before = F.broadcast(offsets(ordered, {"rows": F.lit(1)}).select(RANGE, "rows_before"))
     rows = ordered.join(before, RANGE)
     return rows.select(*[F.col(c) for c in ordered.columns], (F.col("rows_before") + F.col(PLACE) + 1).alias(name))
 
