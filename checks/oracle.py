@@ -482,6 +482,8 @@ UNION ALL SELECT 'weighted avg', {rnd("sum(p * support) / sum(support)", 8)}, {r
     "metrics_record": f"""WITH {GUESSED} SELECT {rnd("avg(f)", 8)} AS macro_f1,
   (SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM guessed) AS labels,
   (SELECT count(*) FROM guessed) AS validation_rows FROM scores""",
+    "one_csv_file": """SELECT doc_id, source AS description, md5(text) AS text_md5, NULL::VARCHAR AS sample_name,
+  '6" of "' || lang AS keywords, lang AS medical_specialty FROM documents""",
     "prepared_splits": f"""WITH {clean_ctes("documents", False)},{split_ctes("cleaned", "lang")}
 SELECT text, lang, split FROM assigned""",
 }

@@ -716,6 +716,27 @@ def stored_metrics(spark, sf):
     return found.select(round_even(F.col("macro_f1"), 8).alias("macro_f1"), F.concat_ws(",", "labels").alias("labels"), "validation_rows")
 
 
+@query
+def one_csv_file(spark, sf):
+    """The documents in a single CSV file, cut at 64 KB so that several tasks read it, wherever a quoted line break falls."""
+    root = f"{shared_folder(spark)}/corpuscope/one-csv-{uuid.uuid4().hex}"
+    raw = documents(spark, sf).select(
+        F.col("doc_id").alias("Unnamed: 0"), F.col("source").alias("description"), F.col("text").alias("transcription"),
+        F.lit("NA").alias("sample_name"), F.concat(F.lit('6" of "'), F.col("lang")).alias("keywords"), F.col("lang").alias("medical_specialty"),
+    )
+    raw.coalesce(1).write.csv(root, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    cut = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(cut)
+    spark.conf.set(cut, "64k")
+    try:
+        notes = tables.read_notes_csv(spark, root)
+    finally:
+        spark.conf.set(cut, before)
+    return notes.select(
+        F.col("Unnamed: 0").alias("doc_id"), "description", F.md5("transcription").alias("text_md5"), "sample_name", "keywords", "medical_specialty"
+    )
+
+
 @query
 def splits_from_csv(spark, sf):
     """The documents as a raw CSV file, prepared from there."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from corpuscope.sources.records import cells, records
 from corpuscope.staging import filesystem
 
 # Cell texts that stand for a missing value in a CSV file.
@@ -24,6 +28,9 @@ RAW_SCHEMA = S.StructType(
 )
 
 
+DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_notes_csv(spark: SparkSession, path: str, schema: S.StructType = RAW_SCHEMA) -> DataFrame:
     """Read notes with quoted line breaks and doubled quotes; missing-value texts become NULL.
 
@@ -31,22 +38,23 @@ def read_notes_csv(spark: SparkSession, path: str, schema: S.StructType = RAW_SC
     the row number. Columns that ``schema`` does not name follow as strings. A missing column raises
     ValueError, and a record with too few or too many cells fails when it is read.
 
-    Such a file cannot be split among tasks: store it once with :func:`ensure_table` and
-    work from there. Reads the header when called.
+    Files are read in parallel by byte ranges (:mod:`corpuscope.sources.records`): two passes and a stored copy of the records, so
+    store the result once with :func:`ensure_table` and work from there. Runs these jobs when called. Lines
+    must end in ``\\n`` or ``\\r\\n``.
     """
-    dialect = {
-        "header": True, "multiLine": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
-        "ignoreTrailingWhiteSpace": False,
-    }
-    header = spark.read.csv(path, **dialect).columns
-    strings = S.StructType([S.StructField(name, S.StringType()) for name in header])
-    # Spark compares every file's header with the first's, but cannot where a name is empty. Whole records are parsed, also for a query of few columns, so that none with a wrong number of cells slips through.
-    raw = spark.read.schema(strings).option("columnPruning", False).csv(path, enforceSchema="_c0" in header, mode="FAILFAST", **dialect)
+    header = spark.read.csv(path, header=True, multiLine=True, **DIALECT).columns
     found = ["Unnamed: 0" if k == 0 and name == "_c0" else name for k, name in enumerate(header)]
-    raw = raw.toDF(*found)
     missing = sorted({f.name for f in schema.fields} - set(found))
     if missing:
         raise ValueError(f"missing required columns: {missing}")
+    stored = records(spark, path)
+    names = [f"_{k}" for k in range(len(header))]
+    first = stored.where("first").select("text").distinct()
+    for row in first.toLocalIterator():  # one row for each way to write the header
+        if [name or f"_c{k}" for k, name in enumerate(next(csv.reader(io.StringIO(row.text, newline=""))))] != header:
+            raise ValueError(f"the header {row.text!r} differs from the columns {header}")
+    parsed = stored.where("not first").select(cells(F.col("text"), names, **DIALECT).alias("cells"))
+    raw = parsed.select(*[F.col(f"cells.{name}") for name in names]).toDF(*found)
     extra = [name for name in found if name not in schema.names]
     present = {name: F.when(~F.col(f"`{name}`").isin(*NULL_TOKENS), F.col(f"`{name}`")) for name in found}
     return raw.select(
