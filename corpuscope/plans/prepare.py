@@ -50,8 +50,9 @@ def prepare_splits(raw: DataFrame, table_path: str, splits_path: str, *, force:
 
 def prepare_csv(spark: SparkSession, csv_path: str, table_path: str, splits_path: str, **options) -> dict[str, str]:
     """From the raw CSV file; its row number is the key."""
-    raw = tables.keyed_by_row_number(tables.read_notes_csv(spark, csv_path))
-    return prepare_splits(raw, table_path, splits_path, **options)
+    with staged_work(spark):
+        raw = tables.keyed_by_row_number(tables.read_notes_csv(spark, csv_path))
+        return prepare_splits(raw, table_path, splits_path, **options)
 
 
 def prepare_train_ready(raw: DataFrame, clean_path: str, train_ready_path: str, **options) -> DataFrame:
@@ -59,7 +60,7 @@ def prepare_train_ready(raw: DataFrame, clean_path: str, train_ready_path: str,
     o, spark = PrepareOptions(**options), raw.sparkSession
     with staged_work(spark):
         cleaned = cleaning.clean_distinct(raw, **o.cleaning, **o.names)
-        tables.write_clean(cleaned, clean_path, o.label)
+        tables.write_clean(cleaned, clean_path, o.label, o.key)
         ready = splitting.train_ready(tables.read_table(spark, clean_path), o.test_size, o.val_size, o.seed, **o.names)
-        tables.write_train_ready(ready, train_ready_path)
+        tables.write_train_ready(ready, train_ready_path, o.key)
     return tables.read_table(spark, train_ready_path)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
@@ -72,35 +74,91 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _aside(path: str, what: str) -> str:
+    """A hidden folder beside ``path``: on the same file system, and never read as a table."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}-{what}-{uuid.uuid4().hex}"
+
+
+def _moved(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder unless the target exists."""
+    files, to = filesystem(spark, target)
+    if files.exists(to) or not files.rename(filesystem(spark, source)[1], to):
+        return False
+    # Where the target came into being meanwhile, the folder was moved into it.
+    _, inside = filesystem(spark, f"{target.rstrip('/')}/{source.rpartition('/')[2]}")
+    return not (files.exists(inside) and files.delete(inside, True))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, folder = filesystem(spark, path)
+    files.delete(folder, True)
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    files, mark = filesystem(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return files.exists(mark)
+
+
+def write_aside(spark: SparkSession, path: str, write: Callable[[str], None], replace: bool = True) -> None:
+    """Let ``write`` store a table in a hidden folder, then put it at ``path`` by a rename.
+
+    ``path`` never shows part of a table or files of two: a job that fails leaves it as it was, and of two writers one
+    puts its whole table there. Unless ``replace``, a finished table that is there by then stays. Between taking
+    the old table away and renaming the new one there is a moment without any.
+    """
+    new, old = _aside(path, "new"), _aside(path, "old")
+    try:
+        write(new)
+        if not replace and _finished(spark, path):
+            return
+        files, target = filesystem(spark, path)
+        while not _moved(spark, new, path):
+            if not replace and _finished(spark, path):
+                return
+            if files.exists(target):
+                files.rename(target, filesystem(spark, old)[1])
+                _delete(spark, old)
+    finally:
+        _delete(spark, new)
+
+
 def ensure_table(df: DataFrame, path: str, force: bool = False) -> DataFrame:
     """Store ``df`` at ``path`` unless a finished table is there already (or ``force``); return the table.
 
-    Only a folder with a success mark is a table: what a lost job left is written anew.
+    Only a folder with a success mark is a table. It appears at once and whole (:func:`write_aside`).
     """
     spark = df.sparkSession
-    files, mark = filesystem(spark, f"{path.rstrip('/')}/_SUCCESS")
-    if force or not files.exists(mark):
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+    if force or not _finished(spark, path):
+        write_aside(spark, path, lambda at: df.write.parquet(at), replace=force)
     return spark.read.parquet(path)
 
 
-def write_clean(df: DataFrame, path: str, label: str = "medical_specialty") -> None:
-    """Parquet, each file sorted by label and falling length."""
-    df.sortWithinPartitions(F.asc(label), F.desc("word_count")).write.mode("overwrite").parquet(path)
+def _in_files(df: DataFrame, *order: Column, key: str) -> DataFrame:
+    """``df`` in one order over all its files, by their names.
 
+    The key ends the order, so a label of any size is cut into ranges like the rest; adaptive execution joins small ranges.
+    """
+    keys = [*order, F.asc(key)] if key in df.columns else list(order)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
-def write_train_ready(df: DataFrame, path: str) -> None:
-    """Parquet in one folder per split, each file sorted by label and length."""
-    ordered = df.sortWithinPartitions("split", "label", "word_count")
-    ordered.write.mode("overwrite").partitionBy("split").parquet(path)
+
+def write_clean(df: DataFrame, path: str, label: str = "medical_specialty", key: str = "doc_id") -> None:
+    """Parquet, sorted by label and falling length over all files."""
+    ordered = _in_files(df, F.asc(label), F.desc("word_count"), key=key)
+    write_aside(df.sparkSession, path, lambda at: ordered.write.parquet(at))
+
+
+def write_train_ready(df: DataFrame, path: str, key: str = "doc_id") -> None:
+    """Parquet in one folder per split, each sorted by label and length over all its files."""
+    ordered = _in_files(df, F.asc("split"), F.asc("label"), F.asc("word_count"), key=key)
+    write_aside(df.sparkSession, path, lambda at: ordered.write.partitionBy("split").parquet(at))
 
 
 def write_split_csv(df: DataFrame, path: str) -> dict[str, str]:
     """CSV with header in one folder per split; returns the folder of each split that has rows."""
-    df.write.mode("overwrite").partitionBy("split").option("quote", '"').option("escape", '"').csv(
-        path, header=True
-    )
+    rows = df.write.partitionBy("split").option("quote", '"').option("escape", '"')
+    write_aside(df.sparkSession, path, lambda at: rows.csv(at, header=True))
     files, _ = filesystem(df.sparkSession, path)
     folders = {name: f"{path}/split={name}" for name in ("train", "val", "test")}
     return {name: at for name, at in folders.items() if files.exists(filesystem(df.sparkSession, at)[1])}
@@ -108,4 +166,4 @@ def write_split_csv(df: DataFrame, path: str) -> dict[str, str]:
 
 def write_metrics(df: DataFrame, path: str) -> None:
     """One-row metrics record as JSON."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    write_aside(df.sparkSession, path, lambda at: df.coalesce(1).write.json(at))
