@@ -148,6 +148,23 @@ occ AS (SELECT doc_id, {comma}unnest({gram}) AS term FROM tok),
 stats AS (SELECT {comma}term, count(DISTINCT doc_id) AS df, count(*) AS total FROM occ GROUP BY {comma}term)"""
 
 
+FOLDED = f"""
+raw AS (SELECT doc_id, lang, {tokens("coalesce(text, '')", ())} AS t FROM documents),
+occ AS (SELECT lang, unnest(t) AS term FROM raw),
+written AS (SELECT lang, term, count(*) AS total FROM occ WHERE term NOT IN ({quoted((*ENGLISH, *CLOUD_EXTRA))}) GROUP BY lang, term),
+forms AS (
+  SELECT w.lang, w.term, coalesce(s.term, w.term) AS form FROM written w
+  LEFT JOIN written s ON s.lang = w.lang AND regexp_matches(w.term, '[^s]s$') AND s.term = w.term[:-2]),
+words AS (SELECT lang, form AS term, sum(total)::BIGINT AS total FROM written JOIN forms USING (lang, term) GROUP BY lang, form)"""
+
+
+def clouded(source: str, top: int) -> str:
+    return f"""SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY total DESC, term) AS rank, term, total,
+  {rnd("total / (max(total) OVER (PARTITION BY lang))::DOUBLE", 8)} AS weight
+FROM {source} WHERE lang IN ({largest("lang", 6)})
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY total DESC, term) <= {top}"""
+
+
 def vocab_ctes(source: str, gram: str, where: str = "true", top: int = 10_000) -> str:
     return f"""{stats_ctes(source, gram)},
 n_docs AS (SELECT count(*)::DOUBLE AS n FROM {source}),
@@ -434,6 +451,27 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY total DESC, term) AS
   {rnd("total / (max(total) OVER (PARTITION BY lang))::DOUBLE", 8)} AS weight
 FROM stats WHERE lang IN ({largest("lang", 6)})
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY total DESC, term) <= 80""",
+    "cloud_plurals": f"""WITH {FOLDED} {clouded("words", 2000)}""",
+    "cloud_phrases": f"""WITH {FOLDED},
+place AS (SELECT doc_id, lang, unnest(t) AS term, unnest(range(len(t))) AS p FROM raw),
+pair AS (
+  SELECT a.lang, f.form AS first, g.form AS second, count(*) AS seen FROM place a JOIN place b ON a.doc_id = b.doc_id AND b.p = a.p + 1
+  JOIN forms f ON f.lang = a.lang AND f.term = a.term JOIN forms g ON g.lang = b.lang AND g.term = b.term GROUP BY ALL),
+sized AS (
+  SELECT pair.*, x.total::DOUBLE AS c1, y.total::DOUBLE AS c2, (SELECT sum(total) FROM words w WHERE w.lang = pair.lang)::DOUBLE AS n
+  FROM pair JOIN words x ON x.lang = pair.lang AND x.term = first JOIN words y ON y.lang = pair.lang AND y.term = second),
+phrase AS (
+  SELECT * FROM sized WHERE n > c1 AND n > c2 AND 2 * (
+    ln(greatest(seen / c1, 1e-10)) * seen + ln(greatest(1 - seen / c1, 1e-10)) * (c1 - seen)
+    + ln(greatest((c2 - seen) / (n - c1), 1e-10)) * (c2 - seen) + ln(greatest(1 - (c2 - seen) / (n - c1), 1e-10)) * (n - c1 - c2 + seen)
+    - ln(greatest(c2 / n, 1e-10)) * c2 - ln(greatest(1 - c2 / n, 1e-10)) * (n - c2)) > 30),
+lost AS (
+  SELECT lang, term, sum(seen) AS lost FROM (
+    SELECT lang, first AS term, seen FROM phrase UNION ALL SELECT lang, second, seen FROM phrase) GROUP BY lang, term),
+cloud AS (
+  SELECT lang, term, (total - coalesce(lost, 0))::BIGINT AS total FROM words LEFT JOIN lost USING (lang, term) WHERE total > coalesce(lost, 0)
+  UNION ALL SELECT lang, first || ' ' || second, seen::BIGINT FROM phrase)
+{clouded("cloud", 80)}""",
     "vocabulary_lookup": f"""WITH {VOCAB} SELECT doc_id, count(*) AS n_known, count(DISTINCT term) AS n_distinct_known
 FROM occ WHERE term IN (SELECT term FROM vocab) GROUP BY doc_id""",
     "split_quotas": f"""WITH {split_ctes("documents", "source")}

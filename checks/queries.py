@@ -487,6 +487,18 @@ def cloud_weights(spark, sf):
     return terms.cloud_weights(documents(spark, sf), **LANG).withColumn("weight", round_even(F.col("weight"), 8))
 
 
+@query
+def cloud_phrases(spark, sf):
+    found = terms.cloud_weights(documents(spark, sf), **LANG, plurals=True, phrases=True)
+    return found.withColumn("weight", round_even(F.col("weight"), 8))
+
+
+@query
+def cloud_plurals(spark, sf):
+    found = terms.cloud_weights(documents(spark, sf), **LANG, plurals=True, words=2000)
+    return found.withColumn("weight", round_even(F.col("weight"), 8))
+
+
 @query
 def vocabulary_lookup(spark, sf):
     docs = documents(spark, sf)

@@ -361,18 +361,82 @@ def cloud_weights(
     labels: int = 6,
     words: int = 80,
     stop_words: Sequence[str] = (*ENGLISH, *CLOUD_EXTRA),
+    plurals: bool = False,
+    phrases: bool = False,
+    threshold: float = 30.0,
 ) -> DataFrame:
-    """``(label, rank, term, total, weight)``: a label's most frequent terms over its top count."""
+    """``(label, rank, term, total, weight)``: a label's most frequent terms over its top count.
+
+    With ``plurals``, a word in s counts as the word without it where the label has both. With ``phrases``, two neighbouring words whose
+    log-likelihood ratio is over ``threshold`` are a term of their own, and its occurrences leave the counts of
+    both words. Either runs jobs that count the words (and pairs) of each label.
+    """
     rows = keep_top_labels(df, label, labels)
-    found = with_terms(rows, text, [label], (1, 1), stop_words)
-    terms = unnest(found, [label], F.col("terms"))
-    counted = terms.groupBy(label, "term").agg(F.count(F.lit(1)).alias("total"))
+    if phrases or plurals:
+        counted = _folded_counts(rows, text, label, stop_words, plurals, phrases, threshold)
+    else:
+        terms = unnest(with_terms(rows, text, [label], (1, 1), stop_words), [label], F.col("terms"))
+        counted = terms.groupBy(label, "term").agg(F.count(F.lit(1)).alias("total"))
     most = F.max("total").over(Window.partitionBy(label))
     return _ranked(counted, label, "total", words).select(
         label, "rank", "term", "total", (F.col("total").cast("double") / most).alias("weight")
     )
 
 
+def _folded_counts(
+    rows: DataFrame, text: str, label: str, stop_words: Sequence[str], plurals: bool, phrases: bool, threshold: float
+) -> DataFrame:
+    """``(label, term, total)`` of words, with plurals folded and phrases taken out.
+
+    Words and pairs are counted as they are written first; only distinct ones are joined.
+    """
+    all_tokens = with_terms(rows, text, [label], (1, 1), ())
+    kept = lambda token: ~token.isin(list(stop_words))
+    found = unnest(all_tokens, [label], F.filter("terms", kept)).groupBy(label, "term").agg(F.count(F.lit(1)).alias("total"))
+    found = measured(found)
+    forms = found.select(label, "term", F.col("term").alias("form"))
+    if plurals:
+        singular = F.when(F.col("term").rlike("[^s]s$"), F.expr("left(term, length(term) - 1)"))
+        known = found.select(F.col(label).alias("_label"), F.col("term").alias("_singular"))
+        forms = found.select(label, "term", singular.alias("_form")).join(
+            known, (F.col(label) == F.col("_label")) & (F.col("_form") == F.col("_singular")), "left"
+        ).select(label, "term", F.coalesce("_singular", "term").alias("form"))
+    counted = measured(found.join(forms, [label, "term"]).groupBy(label, F.col("form").alias("term")).agg(F.sum("total").alias("total")))
+    if not phrases:
+        return counted
+    neighbours = F.arrays_zip(F.col("terms").alias("first"), F.slice("terms", F.lit(2), F.greatest(F.size("terms") - 1, F.lit(0))).alias("second"))
+    pairs = unnest(
+        all_tokens, [label], F.filter(neighbours, lambda p: p["second"].isNotNull() & kept(p["first"]) & kept(p["second"])), "pair"
+    ).groupBy(label, "pair.first", "pair.second").agg(F.count(F.lit(1)).alias("both"))
+    for side in ("first", "second"):
+        named = forms.select(label, F.col("term").alias(side), F.col("form").alias(f"{side}_form"))
+        pairs = pairs.join(named, [label, side])
+    pairs = pairs.groupBy(label, F.col("first_form").alias("first"), F.col("second_form").alias("second")).agg(F.sum("both").alias("both"))
+    for side in ("first", "second"):
+        pairs = pairs.join(counted.select(label, F.col("term").alias(side), F.col("total").alias(f"n_{side}")), [label, side])
+    sizes = counted.groupBy(label).agg(F.sum("total").alias("n"))
+    scored = pairs.join(sizes, label).where(_likelihood_ratio(*map(F.col, ("both", "n_first", "n_second", "n"))) > threshold)
+    phrase = measured(scored.select(label, "first", "second", "both"))
+    lost = phrase.select(label, F.explode(F.array("first", "second")).alias("term"), "both").groupBy(label, "term").agg(F.sum("both").alias("lost"))
+    single = counted.join(lost, [label, "term"], "left").select(label, "term", (F.col("total") - F.coalesce("lost", F.lit(0))).alias("total"))
+    return single.where("total > 0").unionByName(phrase.select(label, F.concat_ws(" ", "first", "second").alias("term"), F.col("both").alias("total")))
+
+
+def _likelihood_ratio(both: Column, first: Column, second: Column, words: Column) -> Column:
+    """Dunning's ratio of the second word coming after the first against it coming anywhere; zero if a word is all there is."""
+    def log_likelihood(hits: Column, trials: Column, chance: Column) -> Column:
+        least = F.lit(1e-10)
+        return F.log(F.greatest(chance, least)) * hits + F.log(F.greatest(1.0 - chance, least)) * (trials - hits)
+
+    both, first, second, words = (c.cast("double") for c in (both, first, second, words))
+    elsewhere, rest = second - both, words - first
+    ratio = 2.0 * (
+        log_likelihood(both, first, both / first) + log_likelihood(elsewhere, rest, elsewhere / rest)
+        - log_likelihood(both, first, second / words) - log_likelihood(elsewhere, rest, second / words)
+    )
+    return F.when((words > first) & (words > second), ratio).otherwise(0.0)
+
+
 def vocabulary_lookup(df: DataFrame, vocab: DataFrame, text: str = TEXT, key: str = KEY,
                       stop_words: Sequence[str] = ENGLISH) -> DataFrame:
     """``(key, n_known, n_distinct_known)``: a document's tokens that the vocabulary holds."""

@@ -123,3 +123,18 @@ def test_top_lists_of_any_length(notes, top):
 def test_top_lists_are_cut_before_the_shuffle(notes):
     plan = terms.top_tfidf_terms(notes(DOCS), min_df=1, max_df=1.0)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_clouds_fold_plurals_and_take_phrases_out(spark):
+    texts = [("left knee and left knee", "x"), ("left knee of knees", "x"), ("glass glas tide", "x"), ("tide pool quay", "x"), *[(f"word{k} other{k}", "x") for k in range(40)], ("knees", "y")]
+    df = spark.createDataFrame([(k, *t) for k, t in enumerate(texts)], "doc_id long, transcription string, medical_specialty string")
+    options = dict(stop_words=("and", "of"), words=200)
+    plain = {(r.medical_specialty, r.term): r.total for r in terms.cloud_weights(df, **options).collect()}
+    assert plain["x", "knee"] == 3 and plain["x", "knees"] == 1
+    folded = {(r.medical_specialty, r.term): r.total for r in terms.cloud_weights(df, plurals=True, **options).collect()}
+    assert folded["x", "knee"] == 4 and ("x", "knees") not in folded  # one form where both occur
+    assert folded["y", "knees"] == 1 and folded["x", "glass"] == 1 and folded["x", "glas"] == 1  # not across labels, not from ss
+    both = {(r.medical_specialty, r.term): r.total for r in terms.cloud_weights(df, plurals=True, phrases=True, threshold=15.0, **options).collect()}
+    assert both["x", "left knee"] == 3 and both["x", "knee"] == 1 and ("x", "left") not in both
+    assert ("x", "knee left") not in both and ("x", "knee knee") not in both  # stop words stand between
+    assert both["x", "tide"] == 2
