@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType
 from corpuscope.functions import text as T
 from corpuscope.functions.numeric import percent, round_even
 from corpuscope.functions.stopwords import CLOUD_EXTRA, ENGLISH
+from corpuscope.operators import heavy
 from corpuscope.operators.cleaning import KEY, LABEL, TEXT
 from corpuscope.operators.labels import keep_top_labels, label_counts, top_labels
 from corpuscope.staging import measured
@@ -57,8 +58,9 @@ def term_stats(
     by: Sequence[str] = (),
     ngram_range: tuple[int, int] = (1, 1),
     stop_words: Sequence[str] = ENGLISH,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """``(by..., term, df, total)``: documents with the term, and all its occurrences.
+    """``(by..., term, df, total)``: documents with the term, and all its occurrences; of ``only`` the terms of that table.
 
     A document's terms are sorted and each is paired with its predecessor, which marks
     the first of equal terms and gives both counts from one pass.
@@ -70,6 +72,8 @@ def term_stats(
     pairs = ordered.select(
         *by, F.explode(F.arrays_zip(F.col("terms").alias("term"), before.alias("before"))).alias("pair")
     ).where(F.col("pair.term").isNotNull())
+    if only is not None:
+        pairs = pairs.join(only.select(F.col("term").alias("_only")), F.col("pair.term") == F.col("_only"), "left_semi")
     repeated = F.col("pair.term").eqNullSafe(F.col("pair.before"))
     return pairs.groupBy(*by, F.col("pair.term").alias("term")).agg(
         F.count_if(~repeated).alias("df"), F.count(F.lit(1)).alias("total")
@@ -147,12 +151,24 @@ def vocabulary(
 ) -> DataFrame:
     """``(term, df, total, idf)``, the ``max_features`` most frequent terms within bounds.
 
-    idf = ln((1 + documents) / (1 + df)) + 1.
+    idf = ln((1 + documents) / (1 + df)) + 1. Of vocabularies with n-grams, summaries find the candidates first (jobs), and only
+    these are counted; where that cannot be shown to leave out no term of the vocabulary, all terms are.
     """
     documents = document_count(df)
-    stats = prune(term_stats(df, text, (), ngram_range, stop_words), documents, min_df, max_df)
     idf = F.log((1.0 + documents) / (1.0 + F.col("df"))) + 1.0
-    return most_frequent(stats, max_features).withColumn("idf", idf)
+
+    def found(only: DataFrame | None = None) -> DataFrame:
+        stats = prune(term_stats(df, text, (), ngram_range, stop_words, only), documents, min_df, max_df)
+        return most_frequent(stats, max_features).withColumn("idf", idf)
+
+    tokens = with_terms(df, text, [], (1, 1), stop_words)
+    likely = heavy.candidates(tokens, ngram_range, max_features) if ngram_range[1] > 1 else None
+    if likely is None:
+        return found()
+    vocab = measured(found(likely.terms))
+    least = vocab.agg(F.count("total").alias("terms"), F.min("total").alias("least")).first()
+    certain = likely.limit == 0 or (least.terms == max_features and least.least > likely.limit)
+    return vocab if certain else found()
 
 
 def weighted_terms(
