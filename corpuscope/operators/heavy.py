@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.staging import measured
+from corpuscope.staging import measured, stage
 
 ROOM = 4  # counters of a summary for each wanted term
 
@@ -82,9 +82,9 @@ def candidates(tokens: DataFrame, ngram_range: tuple[int, int], top: int, capaci
     known = added.where("term is not null")
     reached = known.orderBy(F.desc("n")).limit(top).agg(F.count("n").alias("terms"), F.min("n").alias("least")).first()
     if reached.terms < top:
-        return Candidates(known.select("term"), missed) if not missed else None
+        return None if missed else Candidates(stage(known.select("term"), "candidates"), 0)
     if reached.least <= missed:
         return None
     # Whatever is left out has a true count below the least that is surely reached.
     kept = known.where(F.col("n") + missed >= reached.least)
-    return Candidates(measured(kept.select("term")), max(reached.least - 1, missed))
+    return Candidates(stage(kept.select("term"), "candidates"), max(reached.least - 1, missed))
