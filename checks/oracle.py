@@ -542,3 +542,11 @@ ORACLE |= {
     "splits_from_csv": ORACLE["prepared_splits"], "profile_top_terms": ORACLE["tfidf_top_terms"],
     "profile_exclusive_terms": ORACLE["exclusive_terms"], "profile_cloud_weights": ORACLE["cloud_weights"],
 }
+
+ORACLE["term_dictionary"] = f"""WITH {stats_ctes("documents", "t")}
+SELECT term, row_number() OVER (ORDER BY term) AS id FROM (SELECT DISTINCT term FROM occ)"""
+for encoded, words in {
+    "top_terms": "tfidf_top_terms", "trigrams": "top_trigrams", "bigrams_by_label": "bigrams_by_label",
+    "label_vocabularies": "label_vocabularies", "cloud_weights": "cloud_weights", "sublinear_tfidf": "sublinear_tfidf",
+}.items():
+    ORACLE[f"encoded_{encoded}"] = ORACLE[words]

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from corpuscope.functions import text as T
 from corpuscope.functions.numeric import round_even
 from corpuscope.functions.readability import SCORES, with_readability, with_text_stats
+from corpuscope.functions.stopwords import ENGLISH
 from corpuscope.operators import (
-    classifier, cleaning, distributions, labels, metrics, quality, schema, splitting, terms,
+    classifier, cleaning, dictionary, distributions, labels, metrics, quality, schema, splitting, terms,
 )
 from corpuscope.plans import prepare, profile, train
 from corpuscope.sources import tables
@@ -505,6 +506,60 @@ def vocabulary_lookup(spark, sf):
     return terms.vocabulary_lookup(docs, terms.vocabulary(docs, "text", min_df=3, max_df=0.85), "text")
 
 
+# --- the same on ids of a dictionary ---------------------------------------------------
+
+
+def encoded(docs, text="text"):
+    return dictionary.encode(terms.token_table(docs, text, "lang"))
+
+
+@query
+def term_dictionary(spark, sf):
+    return encoded(documents(spark, sf)).terms
+
+
+@query
+def encoded_top_terms(spark, sf):
+    ids = encoded(documents(spark, sf))
+    return dictionary.named(terms.top_tfidf_terms(ids.rows, "tokens", "lang"), ids)
+
+
+@query
+def encoded_trigrams(spark, sf):
+    ids = encoded(documents(spark, sf))
+    return dictionary.named(terms.top_ngrams(ids.rows, 3, 20, "tokens"), ids, 3)
+
+
+@query
+def encoded_bigrams_by_label(spark, sf):
+    ids = encoded(documents(spark, sf))
+    return dictionary.named(terms.top_ngrams_by_label(ids.rows, 2, 5, 10, "tokens", "lang"), ids, 2)
+
+
+@query
+def encoded_label_vocabularies(spark, sf):
+    ids = encoded(documents(spark, sf))
+    return dictionary.named(terms.label_vocabularies(ids.rows, "tokens", "lang"), ids)
+
+
+@query
+def encoded_cloud_weights(spark, sf):
+    ids = encoded(documents(spark, sf))
+    found = dictionary.named(terms.cloud_weights(ids.rows, "tokens", "lang"), ids)
+    return found.withColumn("weight", round_even(F.col("weight"), 8))
+
+
+@query
+def encoded_sublinear_tfidf(spark, sf):
+    """As ``sublinear_tfidf``; the dictionary is that of all rows, the vocabulary that of the train rows."""
+    ready = train_ready_notes(spark, sf)
+    tokens = terms.with_terms(ready, "text", ["doc_id", "split"], (1, 1), ENGLISH).withColumnRenamed("terms", "tokens")
+    ids = dictionary.encode(tokens)
+    vocab = terms.vocabulary(splitting.select_split(ids.rows, "train"), "tokens", (1, 2), max_features=20_000)
+    found = terms.weighted_terms(ids.rows, vocab, "tokens", ngram_range=(1, 2), sublinear=True)
+    return dictionary.named(found, ids, 2).withColumn("weight", round_even(F.col("weight"), 8))
+
+
 # --- splitting -------------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.types import ArrayType
 from corpuscope.functions import text as T
 from corpuscope.functions.numeric import percent, round_even
 from corpuscope.functions.stopwords import CLOUD_EXTRA, ENGLISH
-from corpuscope.operators import heavy
+from corpuscope.operators import dictionary, heavy
 from corpuscope.operators.cleaning import KEY, LABEL, TEXT
 from corpuscope.operators.labels import keep_top_labels, label_counts, top_labels
 from corpuscope.staging import measured
@@ -28,7 +28,12 @@ def with_terms(
 ) -> DataFrame:
     """``(keep..., terms)``: each row's n-grams. Tokens are a column of their own first, so
     that the n-grams, which use them several times, do not tokenise again. ``text`` may also name a column of
-    tokens, as :func:`token_table` has; stop words then leave it too."""
+    tokens, as :func:`token_table` has; stop words then leave it too. Where these are ids, as
+    :func:`corpuscope.operators.dictionary.encode` makes them, n-grams are made of ids."""
+    if dictionary.holds_ids(df, text):
+        tokenised = df.select(*keep, F.coalesce(dictionary.without(df, text, stop_words), F.array()).alias("terms"))
+        bits = df.schema[text].metadata[dictionary.BITS]
+        return tokenised if ngram_range == (1, 1) else tokenised.select(*keep, dictionary.grams(F.col("terms"), bits, *ngram_range).alias("terms"))
     if isinstance(df.schema[text].dataType, ArrayType):
         found = F.filter(F.col(text), lambda token: ~token.isin(list(stop_words))) if stop_words else F.col(text)
     else:
@@ -68,7 +73,7 @@ def term_stats(
     found = with_terms(df, text, by, ngram_range, stop_words)
     ordered = found.select(*by, F.sort_array("terms").alias("terms"))
     rest = F.slice("terms", F.lit(1), F.greatest(F.size("terms") - 1, F.lit(0)))
-    before = F.concat(F.array(F.lit(None).cast("string")), rest)
+    before = F.concat(F.array(F.lit(None).cast(found.schema["terms"].dataType.elementType)), rest)
     pairs = ordered.select(
         *by, F.explode(F.arrays_zip(F.col("terms").alias("term"), before.alias("before"))).alias("pair")
     ).where(F.col("pair.term").isNotNull())
@@ -161,8 +166,9 @@ def vocabulary(
         stats = prune(term_stats(df, text, (), ngram_range, stop_words, only), documents, min_df, max_df)
         return most_frequent(stats, max_features).withColumn("idf", idf)
 
+    as_words = not dictionary.holds_ids(df, text)  # the summaries are of words
     tokens = with_terms(df, text, [], (1, 1), stop_words)
-    likely = heavy.candidates(tokens, ngram_range, max_features) if ngram_range[1] > 1 else None
+    likely = heavy.candidates(tokens, ngram_range, max_features) if as_words and ngram_range[1] > 1 else None
     if likely is None:
         return found()
     vocab = measured(found(likely.terms))
@@ -385,8 +391,10 @@ def cloud_weights(
 
     With ``plurals``, a word in s counts as the word without it where the label has both. With ``phrases``, two neighbouring words whose
     log-likelihood ratio is over ``threshold`` are a term of their own, and its occurrences leave the counts of
-    both words. Either runs jobs that count the words (and pairs) of each label.
+    both words. Either runs jobs that count the words (and pairs) of each label, and takes words, not ids.
     """
+    if (plurals or phrases) and dictionary.holds_ids(df, text):
+        raise ValueError("Plurals and phrases are found in words, not in their ids.")
     rows = keep_top_labels(df, label, labels)
     if phrases or plurals:
         counted = _folded_counts(rows, text, label, stop_words, plurals, phrases, threshold)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuscope.functions.numeric import round_even
 from corpuscope.functions.readability import SCORES, with_readability, with_text_stats
-from corpuscope.operators import cleaning, distributions, labels, quality, terms
+from corpuscope.operators import cleaning, dictionary, distributions, labels, quality, terms
 from corpuscope.staging import measured, stage
 
 LENGTHS = ("char_len", "word_count", "sentence_count", "avg_word_len")
@@ -63,14 +63,14 @@ def profile(
     """Every table of the exploratory profile, by name.
 
     Missing values and duplicates describe the raw rows, all else the rows with a text.
-    The per-document measures and the tokens are staged once, and what two tables share (best terms, label
-    sets) is computed once. Runs those jobs; :func:`corpuscope.staging.staged_work` around the use gives all back.
+    The per-document measures and the tokens, as ids of a dictionary, are staged once, and what two tables share (best
+    terms, label sets) is computed once; words come back into the results alone. Runs those jobs; :func:`corpuscope.staging.staged_work` around the use gives all back.
     """
     raw_text = text
     facts = stage(document_facts(df, text, label, key), "facts")
-    present = stage(terms.token_table(cleaning.drop_missing(df, text), text, label, key), "tokens")
-    text = "tokens"
-    best = measured(terms.top_tfidf_terms(present, text, label, key))
+    encoded = dictionary.encode(terms.token_table(cleaning.drop_missing(df, text), text, label, key))
+    present, text = encoded.rows, "tokens"
+    best = measured(dictionary.named(terms.top_tfidf_terms(present, text, label, key), encoded))
     sets = measured(terms.label_sets(terms.label_vocabularies(present, text, label), label))
     return {
         "shape": quality.shape(df),
@@ -86,15 +86,15 @@ def profile(
         "outliers": distributions.outlier_summary(facts, "word_count"),
         "top_terms": best,
         "term_heatmap": terms.tfidf_heatmap(best, present, label),
-        "bigrams": terms.top_ngrams(present, 2, 20, text),
-        "trigrams": terms.top_ngrams(present, 3, 20, text),
-        "bigrams_by_label": terms.top_ngrams_by_label(present, 2, 5, 10, text, label),
+        "bigrams": dictionary.named(terms.top_ngrams(present, 2, 20, text), encoded, 2).orderBy(F.desc("total"), "term"),
+        "trigrams": dictionary.named(terms.top_ngrams(present, 3, 20, text), encoded, 3).orderBy(F.desc("total"), "term"),
+        "bigrams_by_label": dictionary.named(terms.top_ngrams_by_label(present, 2, 5, 10, text, label), encoded, 2),
         "jaccard": terms.jaccard(present, text, label, sets=sets),
         "exclusive_terms": terms.exclusive_terms(present, text, label, sets=sets),
         "readability": distributions.describe(facts, SCORES, digits=2),
         "readability_by_label": distributions.medians(
             facts.where(F.col(label).isNotNull()), SCORES[:3], [label]
         ).orderBy("median_flesch_reading_ease"),
-        "cloud_weights": terms.cloud_weights(present, text, label),
+        "cloud_weights": dictionary.named(terms.cloud_weights(present, text, label), encoded),
         "summary": corpus_summary(facts, label),
     }
