@@ -5,11 +5,13 @@ it is half of (sum_i v_i x_i)^2 - sum_i (v_i x_i)^2.
 
 A text's features are its words' hash buckets (square roots of counts, scaled to length 1), measures of its structure,
 the declared length, and the interval each measure falls in. The machine is fitted on at most ``max_rows`` labelled
-texts, those with the smallest hashes of ``doc_id`` outside the held-out fold; it then scores all rows where they are.
+texts, those with the smallest hashes of ``doc_id`` outside the held-out fold, and at most ``max_features`` non-zero features of
+these, in the same order; it then scores all rows where they are.
 
 Defined cases: a NULL or empty text has no words and all measures zero, and is scored by what is left. A missing
 declared length counts as 0. Labels other than 0 and 1, and labels without a text row, are not used. Without labels
-of both classes every text gets the same score, (ones + 1) / (labels + 2). Repeated rows are scored alike.
+of both classes every text gets the same score, (ones + 1) / (labels + 2). Repeated rows are scored alike, and rows of one
+document with equal features are learnt once.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import as_bytes, bounded_batches, packed
+from corpuscope.llm.common import Scratch, as_bytes, bounded_batches, packed
 
 WORD_BUCKETS = 1 << 14
 FACTORS = 8
 MAX_ROWS = 8000
+MAX_FEATURES = 1 << 25  # 12 bytes each
 FOLDS = 5
 INTERVALS = 10
 CUT = 0.3
@@ -174,11 +177,12 @@ def held_out(key: Column) -> Column:
 
 def fit(
     documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", declared: str = "n_chars",
-    label: str = "quality", max_rows: int = MAX_ROWS,
+    label: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES,
 ) -> Machine:
-    """Fit on at most ``max_rows`` labelled rows; runs two jobs.
+    """Fit on at most ``max_rows`` labelled rows with at most ``max_features`` features in all; runs jobs.
 
-    The chosen labels (at most ``max_rows`` short rows) are sent to the texts. Features are made where the texts are.
+    The chosen labels (at most ``max_rows`` short rows) are sent to the texts. Features are made where the texts are and
+    stored; their sizes tell which come to the driver, however often a key or a row repeats.
     """
     usable = labels.select(F.col(key).cast("long").alias("labelled"), F.col(label).cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & F.col("labelled").isNotNull()
@@ -198,7 +202,18 @@ def fit(
     bounded_batches(documents.sparkSession)
     source = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), F.col(declared).cast("long").alias("declared"))
     source = source.join(F.broadcast(chosen), F.col("doc") == F.col("labelled")).select("doc", "label", "text", "declared")
-    rows = source.mapInArrow(run, "doc long, label int, index binary, value binary").collect()
+    scratch = Scratch(documents.sparkSession, "quality")
+    made = source.mapInArrow(run, "doc long, label int, index binary, value binary")
+    made = scratch.keep(made.withColumn("same", F.xxhash64("index", "value")), "features")
+    keys = ["doc", "label", "same"]
+    sizes = made.groupBy(*keys).agg(F.max(F.length("index") / 4).cast("long").alias("size"))
+    first = sizes.orderBy(F.xxhash64("doc"), *keys).limit(max_rows).collect()
+    upto = np.cumsum([r["size"] for r in first])
+    within = [(r["doc"], r["label"], r["same"]) for r, n in zip(first, upto) if n <= max_features]
+    picked = documents.sparkSession.createDataFrame(within, "doc long, label int, same long")
+    once = made.join(F.broadcast(picked), keys).groupBy(*keys).agg(F.min(F.struct("index", "value")).alias("features"))
+    rows = once.select("doc", "label", "features.*").collect()
+    scratch.drop()
     rows.sort(key=lambda r: (r["doc"], r["label"], r["index"], r["value"]))
     return train([(np.frombuffer(r["index"], "<i4"), np.frombuffer(r["value"], "<f8"), r["label"]) for r in rows])
 

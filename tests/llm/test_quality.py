@@ -58,3 +58,19 @@ def test_odd_and_empty_tables(spark, documents, odd, none):
     assert len({s for k, s in scores if k == 5}) == 1 and len({s for k, s in scores if k in (1, 2)}) == 1
     assert Q.score(none, machine).count() == 0
     assert {round(r.score, 6) for r in Q.score(odd, Q.fit(none, labels)).collect()} == {0.5}
+
+
+def test_a_key_that_repeats_does_not_grow_the_fit(spark, documents, monkeypatch):
+    docs, labels, _ = labelled(spark, documents, 200)
+    once, learnt = Q.fit(docs, labels), []
+    same = docs
+    for _ in range(3):
+        same = same.unionByName(docs)
+    assert np.array_equal(Q.fit(same, labels).factors, once.factors)
+    train = Q.train
+    monkeypatch.setattr(Q, "train", lambda rows: learnt.append(rows) or train(rows))
+    key = next(k for k in range(200) if zlib.crc32(str(k).encode()) % 5)
+    other = documents([(key, f"text {k} of a document that says something else every time") for k in range(100)])
+    Q.fit(docs.unionByName(other), labels, max_rows=150)
+    Q.fit(docs, labels, max_features=900)
+    assert len(learnt[0]) <= 150 and sum(len(index) for index, _, _ in learnt[1]) <= 900 and learnt[1]
