@@ -120,11 +120,12 @@ class LineIndex:
                     self._forget(name)
             level += 1
 
-    def add(self, batch: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    def add(self, batch: DataFrame, *, key: str = "doc_id", text: str = "text", last: bool = False) -> DataFrame:
         """Drop the lines that earlier batches or smaller documents of this batch hold; index the rest.
 
         Returns one row per row of ``batch``: ``row`` (as it was), ``kept`` (the text left), ``n_lines`` and
-        ``n_dropped``. Runs the jobs that update the index; the texts are rewritten when the result is used.
+        ``n_dropped``. Runs the jobs that update the index; the texts are rewritten when the result is used. After the
+        ``last`` batch nothing reads the index, so it is left as it was.
         """
         min_chars, scratch = self.min_chars, self.scratch
         name = uuid.uuid4().hex
@@ -154,7 +155,8 @@ class LineIndex:
                 "h", "first", "last", (F.col("old") | F.col("known").isNotNull()).alias("old")
             )
         tagged = scratch.keep(tagged, f"{name}-tagged")
-        self._write(tagged.filter("not old").select("h"), 0)
+        if not last:
+            self._write(tagged.filter("not old").select("h"), 0)
         # Of an old hash all lines go (first is NULL), of a new one all but those of the first document.
         repeated = tagged.filter("old or first <> last").select(
             F.col("h").alias("again"), F.when(~F.col("old"), F.col("first")).alias("first")
@@ -163,7 +165,8 @@ class LineIndex:
         drops = scratch.keep(drops.groupBy("doc").agg(F.collect_list("h").alias("hashes")), f"{name}-drops")
         scratch.drop(f"{name}-lines")
         scratch.drop(f"{name}-tagged")
-        self._compact()
+        if not last:
+            self._compact()
 
         def rewrite(batches):
             for rows in batches:
@@ -198,12 +201,15 @@ class LineIndex:
         self.files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.path), True)
 
 
-def dedup(documents: DataFrame, *, key: str = "doc_id", text: str = "text", batches: int = 3, **options) -> DataFrame:
+def dedup(
+    documents: DataFrame, *, key: str = "doc_id", text: str = "text", batches: int = 3, fanout: int = 2, **options
+) -> DataFrame:
     """Line dedup of a whole table, as ``batches`` successive batches of a fresh index (see :meth:`LineIndex.add`).
 
-    The key range is cut evenly; rows with a NULL key come with the first batch.
+    The key range is cut evenly; rows with a NULL key come with the first batch. With this ``fanout`` the runs of the first
+    batches are merged before the last batch, which reads the merged run; what only later batches would read is not made.
     """
-    index = LineIndex(documents.sparkSession, **options)
+    index = LineIndex(documents.sparkSession, fanout=fanout, **options)
     at = F.col(key).cast("long")
     low, high = documents.agg(F.min(at), F.max(at)).first()
     low, high = (low, high) if low is not None else (0, 0)
@@ -217,7 +223,7 @@ def dedup(documents: DataFrame, *, key: str = "doc_id", text: str = "text", batc
             inside &= at < cut
         if before is None:
             inside |= at.isNull()
-        parts.append(index.add(documents.filter(inside), key=key, text=text))
+        parts.append(index.add(documents.filter(inside), key=key, text=text, last=cut is None))
         before = cut
     result = parts[0]
     for part in parts[1:]:

@@ -89,3 +89,24 @@ def test_odd_and_empty_tables(odd, none):
     rows = {(r.doc_id, r.n_lines, r.n_dropped) for r in L.dedup(odd).select("row.doc_id", "n_lines", "n_dropped").collect()}
     assert (1, 1, 0) in rows and (2, 1, 0) in rows and (5, 1, 0) in rows and (None, 1, 0) in rows
     assert L.dedup(none).count() == 0
+
+
+def test_every_run_is_read_by_a_later_batch(documents, monkeypatch):
+    made, read = [], []
+    write, add = L.LineIndex._write, L.LineIndex.add
+
+    def noted_write(self, hashes, level, parts=()):
+        read.extend(parts)
+        write(self, hashes, level, parts)
+        made.append(self.runs[-1])
+
+    def noted_add(self, *args, **options):
+        read.extend(name for _, name in self.runs)
+        return add(self, *args, **options)
+
+    monkeypatch.setattr(L.LineIndex, "_write", noted_write)
+    monkeypatch.setattr(L.LineIndex, "add", noted_add)
+    docs = cases()
+    rows = L.dedup(documents(docs), buckets=4).select("row.doc_id", "n_lines", "n_dropped", "kept").collect()
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in rows), key=repr) == brute(docs)
+    assert [level for level, _ in made] == [0, 0, 1] and {name for _, name in made} <= set(read)
