@@ -18,9 +18,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuscope.operators.batches import bounded_batches, bounded_slices
 from corpuscope.staging import measured, stage
 
 ROOM = 4  # counters of a summary for each wanted term
+WORDS = 1 << 18  # words whose n-grams are made at once
 
 
 @dataclass(frozen=True)
@@ -54,19 +56,24 @@ def _grams(tokens: pa.Array, low: int, high: int) -> Iterator[pa.Array]:
         yield joined.filter(pa.array(rows[:count] == rows[len(rows) - count:])) if n > 1 else joined
 
 
-def summaries(tokens: DataFrame, ngram_range: tuple[int, int], capacity: int) -> DataFrame:
-    """``(term, n)`` of each task's summary, and a row with a NULL term for what was taken off, from the array column ``terms``."""
+def summaries(tokens: DataFrame, ngram_range: tuple[int, int], capacity: int, words: int = WORDS) -> DataFrame:
+    """``(term, n)`` of each task's summary, and a row with a NULL term for what was taken off, from the array column ``terms``.
+
+    A task makes the n-grams of about ``words`` words at once, so what it holds does not grow with its rows.
+    """
+    bounded_batches(tokens.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, missed = [], 0, 0
-        for batch in batches:
-            for grams in _grams(batch.column("terms"), *ngram_range):
+        for tokens in (part for batch in batches for part in bounded_slices(batch.column("terms"), words)):
+            for grams in _grams(tokens, *ngram_range):
                 counted = grams.value_counts()
                 held.append(pa.table({"term": counted.field("values").cast(pa.string()), "n": counted.field("counts")}))
                 rows += len(counted)
             if rows > 4 * capacity:
                 table, off = _cut(pa.concat_tables(held), capacity)
                 held, rows, missed = [table], table.num_rows, missed + off
+                pa.default_memory_pool().release_unused()
         if held:
             table, off = _cut(pa.concat_tables(held), capacity)
             table = pa.concat_tables([table, pa.table({"term": pa.array([None], pa.string()), "n": pa.array([missed + off], pa.int64())})])

@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuscope.operators.batches import bounded_batches
 from corpuscope.staging import stage
 
 BLOCK = 4_000_000  # coefficients of the tasks that share passes: 32 MB for each vector kept
@@ -51,6 +52,7 @@ def pack(rows: DataFrame, indices: Column, values: Column, label: Column, labels
                 yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["starts", "cells", "numbers", "classes"])
                 first = last
 
+    bounded_batches(rows.sparkSession)
     source = rows.select(indices.alias("indices"), values.alias("values"), label.alias("label")).where(F.col("label").isNotNull())
     return stage(source.mapInArrow(run, CHUNKS), "logistic-rows")
 
@@ -94,11 +96,21 @@ def evaluate(chunks: DataFrame, points: np.ndarray, tasks: np.ndarray, positive:
             parts = [losses.tobytes()] + [gradient[at:at + SLICE].tobytes() for at in range(0, size, SLICE)]
             yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(parts) - 1), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "part"])
 
-    def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(p.as_py()) for p in rows.column("part"))
-        return rows.slice(0, 1).set_column(1, "part", pa.array([total.tobytes()], pa.binary()))
-
-    summed = chunks.mapInArrow(run, PARTS).groupBy("slice").applyInArrow(add, PARTS)
+    def add(batches):
+        totals = {}  # of the task's own slices: together at most a point of each task
+        for batch in batches:
+            for k, part in zip(batch.column("slice").to_pylist(), batch.column("part")):
+                numbers = np.frombuffer(part.as_buffer())
+                if k in totals:
+                    totals[k] += numbers
+                else:
+                    totals[k] = numbers.copy()
+        for k, total in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "part"])
+
+    # A chunk is a row of megabytes: batches bounded by bytes, not a task's chunks all at once.
+    bounded_batches(chunks.sparkSession)
+    summed = chunks.mapInArrow(run, PARTS).repartition("slice").mapInArrow(add, PARTS)
     found = {r.slice: np.frombuffer(r.part) for r in summed.collect()}
     shared.destroy()
     if not found:
