@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from corpuscope.functions.stopwords import CLOUD_EXTRA, ENGLISH
+from corpuscope.operators.batches import bounded_batches, bounded_slices
 from corpuscope.operators.ordering import in_order, numbered
 from corpuscope.staging import stage
 
-BLOCK_WORDS, BLOCK_TOKENS = 1 << 18, 1 << 22  # a block ends with the batch in which it reaches either
+BLOCK_WORDS, BLOCK_TOKENS = 1 << 17, 1 << 20  # a block ends with the slice of a batch in which it reaches either
+SLICE_TOKENS = 1 << 17  # tokens of a batch coded at once
 _TASK_BITS = 31
 BITS, STOPS = "id_bits", "stop_ids"  # metadata of a column of ids
 
@@ -52,6 +54,15 @@ def encode(
     source = df.select(row.alias("row"), F.filter(column, lambda t: t.isNotNull()).alias("tokens"))
     kind = source.schema["row"].dataType.simpleString()
 
+    bounded_batches(df.sparkSession)
+
+    def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = 0
+            for part in bounded_slices(batch.column("tokens"), min(SLICE_TOKENS, block_tokens)):
+                yield batch.slice(first, len(part))
+                first += len(part)
+
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, words, held = TaskContext.get().partitionId() << _TASK_BITS, {}, 0
         row_type = None
@@ -61,7 +72,7 @@ def encode(
             columns = [pa.array([block], pa.int64()), pa.nulls(1, row_type), pa.nulls(1, pa.list_(pa.int32())), found]
             return pa.RecordBatch.from_arrays(columns, names=["block", "row", "codes", "words"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             tokens, row_type = batch.column("tokens"), batch.column("row").type
             met = tokens.flatten().dictionary_encode()
             own = [words.setdefault(w, len(words)) for w in met.dictionary.to_pylist()]
@@ -78,6 +89,7 @@ def encode(
             if len(words) >= block_words or held >= block_tokens:
                 yield closing()
                 block, words, held = block + 1, {}, 0
+                pa.default_memory_pool().release_unused()
         if words:
             yield closing()
 
