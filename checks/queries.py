@@ -8,7 +8,7 @@ from ``documents`` and ``labels``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +81,11 @@ def scored_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_readability(documents(spark, sf_dir).select("doc_id", "lang", "text"), "text").drop("text")
 
 
+def few_scores(spark: SparkSession, sf_dir: str, scores: Sequence[str]) -> DataFrame:
+    """As :func:`scored_notes`, with these scores alone, and nothing counted that they do not use."""
+    return with_readability(documents(spark, sf_dir).select("doc_id", "lang", "text"), "text", scores).drop("text")
+
+
 def train_ready_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.train_ready(stage(clean_notes(spark, sf_dir), "clean"), **NOTES)
 
@@ -391,7 +396,7 @@ def describe_readability(spark, sf):
 
 @query
 def readability_by_label(spark, sf):
-    found = distributions.medians(scored_notes(spark, sf), SCORES[:3], ["lang"])
+    found = distributions.medians(few_scores(spark, sf, SCORES[:3]), SCORES[:3], ["lang"])
     return found.select("lang", *[round_even(F.col(f"median_{s}"), 6).alias(f"median_{s}") for s in SCORES[:3]])
 
 
@@ -783,15 +788,26 @@ def stored_metrics(spark, sf):
     return found.select(round_even(F.col("macro_f1"), 8).alias("macro_f1"), F.concat_ws(",", "labels").alias("labels"), "validation_rows")
 
 
+CSV_FILE_BYTES = 256 << 20  # text of one CSV file: the most that one task writes
+
+
+def few_files(df: DataFrame, column: str, limit: int) -> DataFrame:
+    """``df`` in as few parts as hold about ``limit`` bytes of ``column`` each: one part where that is all."""
+    held = df.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    files = 1 + held // limit
+    return df.coalesce(1) if files == 1 else df.repartition(files)
+
+
 @query
 def one_csv_file(spark, sf):
-    """The documents in a single CSV file, cut at 64 KB so that several tasks read it, wherever a quoted line break falls."""
+    """The documents in a single CSV file (or, as one task writes a file, in one for each ``CSV_FILE_BYTES`` of text), cut at
+    64 KB so that several tasks read it, wherever a quoted line break falls."""
     root = f"{shared_folder(spark)}/corpuscope/one-csv-{uuid.uuid4().hex}"
     raw = documents(spark, sf).select(
         F.col("doc_id").alias("Unnamed: 0"), F.col("source").alias("description"), F.col("text").alias("transcription"),
         F.lit("NA").alias("sample_name"), F.concat(F.lit('6" of "'), F.col("lang")).alias("keywords"), F.col("lang").alias("medical_specialty"),
     )
-    raw.coalesce(1).write.csv(root, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    few_files(raw, "transcription", CSV_FILE_BYTES).write.csv(root, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     cut = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(cut)
     spark.conf.set(cut, "64k")

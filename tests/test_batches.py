@@ -55,3 +55,14 @@ def test_a_pass_reads_few_chunks_at_once_and_adds_all(spark):
         want_loss += np.log1p(np.exp(-margin))
         want[cells] += np.array(numbers)[:, None] * (-sign / (1 + np.exp(margin)))
     assert np.allclose(losses, want_loss) and np.allclose(gradient, want)
+
+
+def test_a_csv_file_is_written_for_so_many_bytes(spark):
+    from checks import queries
+
+    docs = spark.range(100, numPartitions=4).select("id", F.repeat(F.lit("é"), 50).alias("text"))
+    assert queries.few_files(docs, "text", 10_000).rdd.getNumPartitions() == 2
+    parts = queries.few_files(docs, "text", 1000)
+    assert parts.rdd.getNumPartitions() == 11 and sorted(r.id for r in parts.collect()) == [*range(100)]
+    assert queries.few_files(docs, "text", 10_001).rdd.getNumPartitions() == 1
+    assert queries.few_files(docs.where("id < 0"), "text", 10).rdd.getNumPartitions() == 1
