@@ -93,7 +93,7 @@ def encode(
         if words:
             yield closing()
 
-    coded = stage(source.mapInArrow(code, f"block long, row {kind}, codes array<int>, words array<string>"), "coded")
+    coded = stage(source.mapInArrow(code, f"block long, row {kind}, codes array<int>, words array<string>"), "coded", compression="zstd")
     words = coded.where("words is not null").select("block", F.posexplode("words").alias("place", "term"))
     terms = numbered(in_order(words.select("term").distinct(), "term"), "id").select("term", F.col("id").cast("long"))
     terms = stage(terms, "dictionary")
@@ -120,7 +120,7 @@ def encode(
     ).applyInArrow(look_up, schema)
     of_rows = [F.col(f"row.{c}").alias(c) for c in rest]
     by_name = {c: F.col(c) for c in rest} | {column: F.col(column).alias(column, metadata={BITS: bits, STOPS: json.dumps(stops)})}
-    staged = stage(rows.select(*of_rows, F.col("ids").alias(column)), "encoded")
+    staged = stage(rows.select(*of_rows, F.col("ids").alias(column)), "encoded", compression="zstd")
     return Encoded(staged.select(*[by_name[c] for c in df.columns]), terms, bits)
 
 

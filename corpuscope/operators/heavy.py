@@ -59,16 +59,19 @@ def _grams(tokens: pa.Array, low: int, high: int) -> Iterator[pa.Array]:
 def summaries(tokens: DataFrame, ngram_range: tuple[int, int], capacity: int, words: int = WORDS) -> DataFrame:
     """``(term, n)`` of each task's summary, and a row with a NULL term for what was taken off, from the array column ``terms``.
 
-    A task makes the n-grams of about ``words`` words at once, so what it holds does not grow with its rows.
+    A task makes the n-grams of about ``words`` words at once, so what it holds does not grow with its rows. ``terms`` may also
+    hold n-grams that are numbers, in the range ``(1, 1)``.
     """
     bounded_batches(tokens.sparkSession)
+    kind = tokens.schema["terms"].dataType.elementType.simpleString()
+    stored = pa.string() if kind == "string" else pa.int64()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, missed = [], 0, 0
         for tokens in (part for batch in batches for part in bounded_slices(batch.column("terms"), words)):
             for grams in _grams(tokens, *ngram_range):
                 counted = grams.value_counts()
-                held.append(pa.table({"term": counted.field("values").cast(pa.string()), "n": counted.field("counts")}))
+                held.append(pa.table({"term": counted.field("values").cast(stored), "n": counted.field("counts")}))
                 rows += len(counted)
             if rows > 4 * capacity:
                 table, off = _cut(pa.concat_tables(held), capacity)
@@ -76,10 +79,10 @@ def summaries(tokens: DataFrame, ngram_range: tuple[int, int], capacity: int, wo
                 pa.default_memory_pool().release_unused()
         if held:
             table, off = _cut(pa.concat_tables(held), capacity)
-            table = pa.concat_tables([table, pa.table({"term": pa.array([None], pa.string()), "n": pa.array([missed + off], pa.int64())})])
+            table = pa.concat_tables([table, pa.table({"term": pa.array([None], stored), "n": pa.array([missed + off], pa.int64())})])
             yield from table.to_batches(max_chunksize=100_000)
 
-    return tokens.select("terms").mapInArrow(run, "term string, n long")
+    return tokens.select("terms").mapInArrow(run, f"term {kind}, n long")
 
 
 def candidates(tokens: DataFrame, ngram_range: tuple[int, int], top: int, capacity: int | None = None) -> Candidates | None:

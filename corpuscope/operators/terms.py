@@ -20,6 +20,7 @@ from corpuscope.operators.cleaning import KEY, LABEL, TEXT
 from corpuscope.operators.labels import keep_top_labels, label_counts, top_labels
 from corpuscope.staging import measured
 
+COUNTERS = 80_000  # of a task's summary where few n-grams are wanted
 SCORE_DIGITS = 10  # scores are ranked at this precision, so float noise breaks no tie
 
 
@@ -159,21 +160,33 @@ def vocabulary(
     idf = ln((1 + documents) / (1 + df)) + 1. Of vocabularies with n-grams, summaries find the candidates first (jobs), and only
     these are counted; where that cannot be shown to leave out no term of the vocabulary, all terms are.
     """
+    found = frequent_terms(df, text, ngram_range, max_features, min_df, max_df, stop_words)
+    return found.withColumn("idf", F.log((1.0 + document_count(df)) / (1.0 + F.col("df"))) + 1.0)
+
+
+def frequent_terms(
+    df: DataFrame, text: str, ngram_range: tuple[int, int], top: int, min_df: int | float, max_df: int | float,
+    stop_words: Sequence[str], room: int = 1, capacity: int | None = None,
+) -> DataFrame:
+    """``(term, df, total)`` of the ``top`` most frequent terms within bounds. n-grams that are words or packed ids are first
+    summarised: candidates for ``room`` times as many terms, as the bounds may take some away."""
     documents = document_count(df)
-    idf = F.log((1.0 + documents) / (1.0 + F.col("df"))) + 1.0
 
     def found(only: DataFrame | None = None) -> DataFrame:
         stats = prune(term_stats(df, text, (), ngram_range, stop_words, only), documents, min_df, max_df)
-        return most_frequent(stats, max_features).withColumn("idf", idf)
+        return most_frequent(stats, top)
 
-    as_words = not dictionary.holds_ids(df, text)  # the summaries are of words
-    tokens = with_terms(df, text, [], (1, 1), stop_words)
-    likely = heavy.candidates(tokens, ngram_range, max_features) if as_words and ngram_range[1] > 1 else None
+    as_ids = dictionary.holds_ids(df, text)
+    if ngram_range[1] == 1 or (as_ids and not dictionary.packs(df.schema[text].metadata[dictionary.BITS], ngram_range[1])):
+        return found()
+    made = ngram_range if as_ids else (1, 1)  # n-grams of ids are numbers, those of words are made of the words
+    tokens = with_terms(df, text, [], made, stop_words)
+    likely = heavy.candidates(tokens, (1, 1) if as_ids else ngram_range, room * top, capacity)
     if likely is None:
         return found()
     vocab = measured(found(likely.terms))
     least = vocab.agg(F.count("total").alias("terms"), F.min("total").alias("least")).first()
-    certain = likely.limit == 0 or (least.terms == max_features and least.least > likely.limit)
+    certain = likely.limit == 0 or (least.terms == top and least.least > likely.limit)
     return vocab if certain else found()
 
 
@@ -267,8 +280,12 @@ def top_ngrams(
     min_df: int | float = 2,
     max_df: int | float = 0.9,
     stop_words: Sequence[str] = ENGLISH,
+    summarised: bool = True,
 ) -> DataFrame:
-    """``(term, total)``: the corpus-wide most frequent n-grams."""
+    """``(term, total)``: the corpus-wide most frequent n-grams. Where they are ``summarised`` first (jobs), only candidates are
+    shuffled, else every distinct n-gram of each task."""
+    if summarised:
+        return frequent_terms(df, text, (n, n), top, min_df, max_df, stop_words, 4, COUNTERS).select("term", "total")
     stats = prune(term_stats(df, text, (), (n, n), stop_words), document_count(df), min_df, max_df)
     return most_frequent(stats.select("term", "total"), top)
 
@@ -432,10 +449,12 @@ def _folded_counts(
     pairs = unnest(
         all_tokens, [label], F.filter(neighbours, lambda p: p["second"].isNotNull() & kept(p["first"]) & kept(p["second"])), "pair"
     ).groupBy(label, "pair.first", "pair.second").agg(F.count(F.lit(1)).alias("both"))
-    for side in ("first", "second"):
-        named = forms.select(label, F.col("term").alias(side), F.col("form").alias(f"{side}_form"))
-        pairs = pairs.join(named, [label, side])
-    pairs = pairs.groupBy(label, F.col("first_form").alias("first"), F.col("second_form").alias("second")).agg(F.sum("both").alias("both"))
+    if plurals:  # only words that change are joined: a short list, which moves to the pairs and not the pairs to it
+        changed = measured(forms.where(F.col("form") != F.col("term")))
+        for side in ("first", "second"):
+            named = changed.select(label, F.col("term").alias(side), F.col("form").alias(f"{side}_form"))
+            pairs = pairs.join(named, [label, side], "left").withColumn(side, F.coalesce(f"{side}_form", side)).drop(f"{side}_form")
+        pairs = pairs.groupBy(label, "first", "second").agg(F.sum("both").alias("both"))
     for side in ("first", "second"):
         pairs = pairs.join(counted.select(label, F.col("term").alias(side), F.col("total").alias(f"n_{side}")), [label, side])
     sizes = counted.groupBy(label).agg(F.sum("total").alias("n"))

@@ -86,8 +86,8 @@ def profile(
         "outliers": distributions.outlier_summary(facts, "word_count"),
         "top_terms": best,
         "term_heatmap": terms.tfidf_heatmap(best, present, label),
-        "bigrams": dictionary.named(terms.top_ngrams(present, 2, 20, text), encoded, 2).orderBy(F.desc("total"), "term"),
-        "trigrams": dictionary.named(terms.top_ngrams(present, 3, 20, text), encoded, 3).orderBy(F.desc("total"), "term"),
+        "bigrams": dictionary.named(terms.top_ngrams(present, 2, 20, text, summarised=False), encoded, 2).orderBy(F.desc("total"), "term"),
+        "trigrams": dictionary.named(terms.top_ngrams(present, 3, 20, text, summarised=False), encoded, 3).orderBy(F.desc("total"), "term"),
         "bigrams_by_label": dictionary.named(terms.top_ngrams_by_label(present, 2, 5, 10, text, label), encoded, 2),
         "jaccard": terms.jaccard(present, text, label, sets=sets),
         "exclusive_terms": terms.exclusive_terms(present, text, label, sets=sets),

@@ -5,8 +5,9 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from corpuscope.operators import heavy, terms
+from corpuscope.operators import dictionary, heavy, terms
 
 
 def made(spark, seed, rows=400):
@@ -59,3 +60,23 @@ def test_vocabularies_are_the_same(spark, monkeypatch, options):
     pruned = sorted(map(tuple, terms.vocabulary(df, "text", (1, 2), stop_words=(), **options).collect()))
     monkeypatch.setattr(heavy, "candidates", lambda *_: None)
     assert pruned == sorted(map(tuple, terms.vocabulary(df, "text", (1, 2), stop_words=(), **options).collect()))
+
+
+@pytest.mark.parametrize("ids", [False, True])
+def test_few_grams_are_shuffled_and_none_is_lost(spark, monkeypatch, ids):
+    texts, df = made(spark, 3)
+    counts, held = Counter(), Counter()
+    for _, t in texts:
+        w = t.split()
+        grams = [*map(" ".join, zip(w, w[1:]))]
+        counts.update(grams)
+        held.update(set(grams))
+    encoded = dictionary.encode(terms.token_table(df.withColumn("label", F.lit("x")), "text", "label", "doc_id", ()))
+    kept, stats = [], terms.term_stats
+    monkeypatch.setattr(terms, "term_stats", lambda *a: kept.append(a[5]) or stats(*a))
+    monkeypatch.setattr(terms, "COUNTERS", 400)
+    found = terms.top_ngrams(*((encoded.rows, 2, 5, "tokens") if ids else (df, 2, 5, "text")), stop_words=())
+    found = dictionary.named(found, encoded, 2) if ids else found
+    want = sorted(((-n, g) for g, n in counts.items() if 2 <= held[g] <= 0.9 * len(texts)))[:5]
+    assert sorted((-r.total, r.term) for r in found.collect()) == want
+    assert len(kept) == 1 and 5 <= kept[0].count() < len(counts) / 5
