@@ -99,7 +99,9 @@ class LineIndex:
 
     def _write(self, hashes: DataFrame, level: int, parts: list[str] = ()) -> None:
         name = f"level_{level}_{uuid.uuid4().hex}"
-        (hashes.repartition(self.buckets, "h").write.format("parquet").bucketBy(self.buckets, "h").sortBy("h")
+        # Dealt by bucket: however many partitions a shuffle has, a bucket is written by one task, as one file.
+        bucket = F.pmod(F.hash("h"), F.lit(self.buckets))
+        (hashes.repartitionById(self.buckets, bucket).write.format("parquet").bucketBy(self.buckets, "h").sortBy("h")
          .option("path", f"{self.path}/{name}").saveAsTable(f"`{name}`"))
         if parts:
             stream = self.files.create(self._hadoop(f"{name}/_MERGED"))

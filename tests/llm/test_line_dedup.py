@@ -110,3 +110,16 @@ def test_every_run_is_read_by_a_later_batch(documents, monkeypatch):
     rows = L.dedup(documents(docs), buckets=4).select("row.doc_id", "n_lines", "n_dropped", "kept").collect()
     assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in rows), key=repr) == brute(docs)
     assert [level for level, _ in made] == [0, 0, 1] and {name for _, name in made} <= set(read)
+
+
+def test_a_bucket_is_one_file_however_many_partitions_a_shuffle_has(spark, documents, tmp_path, monkeypatch):
+    frame = type(spark.range(1))
+    deal = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *by: deal(self, max(n, 9) if by else n, *by))
+    index = L.LineIndex(spark, f"file://{tmp_path}/index", fanout=2, buckets=4)
+    for k in range(2):  # two runs, which are merged
+        index.add(documents([(200 * k + j, f"a line of document {200 * k + j} alone") for j in range(200)])).count()
+    assert [level for level, _ in index.runs] == [1]
+    files = [p for p in (tmp_path / "index").rglob("part-*") if p.parent.name == index.runs[0][1]]
+    assert len(files) == 4 and spark.read.parquet(*map(str, files)).distinct().count() == 400
+    index.close()
