@@ -442,8 +442,10 @@ def tfidf_heatmap(spark, sf):
 def sublinear_tfidf(spark, sf):
     """Fitted on the train rows; all rows are weighted."""
     ready = train_ready_notes(spark, sf)
-    vocab = terms.vocabulary(splitting.select_split(ready, "train"), "text", (1, 2), max_features=20_000)
-    found = terms.weighted_terms(ready, vocab, "text", ngram_range=(1, 2), sublinear=True)
+    tokens = terms.with_terms(ready, "text", ["doc_id", "split"], (1, 1), ENGLISH).withColumnRenamed("terms", "tokens")
+    tokens = stage(tokens, "tokens", compression="zstd")
+    vocab = terms.vocabulary(splitting.select_split(tokens, "train"), "tokens", (1, 2), max_features=20_000, stop_words=())
+    found = terms.weighted_terms(tokens, vocab, "tokens", ngram_range=(1, 2), stop_words=(), sublinear=True)
     return found.withColumn("weight", round_even(F.col("weight"), 8))
 
 

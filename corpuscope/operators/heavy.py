@@ -13,12 +13,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuscope.operators.batches import bounded_batches, bounded_slices
+from corpuscope.operators.counting import grams
 from corpuscope.staging import measured, stage
 
 ROOM = 4  # counters of a summary for each wanted term
@@ -44,16 +46,10 @@ def _cut(counts: pa.Table, capacity: int) -> tuple[pa.Table, int]:
     return lowered.filter(pc.greater(lowered.column("n"), 0)), off
 
 
-def _grams(tokens: pa.Array, low: int, high: int) -> Iterator[pa.Array]:
-    """All n-grams of the rows of a list column, joined with a space."""
-    words = pc.list_flatten(tokens)
-    rows = pc.list_parent_indices(tokens).to_numpy()
-    for n in range(low, high + 1):
-        count = max(len(words) - n + 1, 0)
-        joined = words.slice(0, count)
-        for shift in range(1, n):
-            joined = pc.binary_join_element_wise(joined, words.slice(shift, count), " ")
-        yield joined.filter(pa.array(rows[:count] == rows[len(rows) - count:])) if n > 1 else joined
+def _grams(tokens: pa.Array, low: int, high: int) -> Iterator[pa.DictionaryArray]:
+    """All n-grams of the rows of a list column, joined with a space; equal ones are stored once."""
+    for _, numbers, names in grams(tokens, low, high):
+        yield pa.DictionaryArray.from_arrays(pa.array(numbers), names)
 
 
 def summaries(tokens: DataFrame, ngram_range: tuple[int, int], capacity: int, words: int = WORDS) -> DataFrame:
@@ -69,10 +65,10 @@ def summaries(tokens: DataFrame, ngram_range: tuple[int, int], capacity: int, wo
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, missed = [], 0, 0
         for tokens in (part for batch in batches for part in bounded_slices(batch.column("terms"), words)):
-            for grams in _grams(tokens, *ngram_range):
-                counted = grams.value_counts()
-                held.append(pa.table({"term": counted.field("values").cast(stored), "n": counted.field("counts")}))
-                rows += len(counted)
+            for met in _grams(tokens, *ngram_range):
+                names, numbers = met.dictionary.cast(stored), met.indices.to_numpy()
+                held.append(pa.table({"term": names, "n": np.bincount(numbers, minlength=len(names))}))
+                rows += len(names)
             if rows > 4 * capacity:
                 table, off = _cut(pa.concat_tables(held), capacity)
                 held, rows, missed = [table], table.num_rows, missed + off

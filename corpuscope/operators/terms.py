@@ -15,7 +15,7 @@ from pyspark.sql.types import ArrayType
 from corpuscope.functions import text as T
 from corpuscope.functions.numeric import percent, round_even
 from corpuscope.functions.stopwords import CLOUD_EXTRA, ENGLISH
-from corpuscope.operators import dictionary, heavy
+from corpuscope.operators import counting, dictionary, heavy
 from corpuscope.operators.cleaning import KEY, LABEL, TEXT
 from corpuscope.operators.labels import keep_top_labels, label_counts, top_labels
 from corpuscope.staging import measured
@@ -69,8 +69,11 @@ def term_stats(
     """``(by..., term, df, total)``: documents with the term, and all its occurrences; of ``only`` the terms of that table.
 
     A document's terms are sorted and each is paired with its predecessor, which marks
-    the first of equal terms and gives both counts from one pass.
+    the first of equal terms and gives both counts from one pass. Those of ``only`` are counted as :func:`counted_terms` does.
     """
+    if only is not None:
+        counts = counted_terms(df, text, by, ngram_range, stop_words).join(only.select("term"), "term", "left_semi")
+        return counts.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     found = with_terms(df, text, by, ngram_range, stop_words)
     ordered = found.select(*by, F.sort_array("terms").alias("terms"))
     rest = F.slice("terms", F.lit(1), F.greatest(F.size("terms") - 1, F.lit(0)))
@@ -78,8 +81,6 @@ def term_stats(
     pairs = ordered.select(
         *by, F.explode(F.arrays_zip(F.col("terms").alias("term"), before.alias("before"))).alias("pair")
     ).where(F.col("pair.term").isNotNull())
-    if only is not None:
-        pairs = pairs.join(only.select(F.col("term").alias("_only")), F.col("pair.term") == F.col("_only"), "left_semi")
     repeated = F.col("pair.term").eqNullSafe(F.col("pair.before"))
     return pairs.groupBy(*by, F.col("pair.term").alias("term")).agg(
         F.count_if(~repeated).alias("df"), F.count(F.lit(1)).alias("total")
@@ -101,11 +102,15 @@ def counted_terms(
     df: DataFrame, text: str, keep: Sequence[str], ngram_range: tuple[int, int], stop_words: Sequence[str],
     extra: Sequence[str] = (),
 ) -> DataFrame:
-    """``(keep..., term, tf)`` from each row's own sorted terms: where a run of equal terms begins, and how far the
-    next is. ``extra`` terms are added to every row once."""
+    """``(keep..., term, tf)`` counted inside each row, in Arrow batches. ``extra`` terms are added to every row once.
+
+    n-grams of ids that are lists are sorted instead: where a run of equal terms begins, and how far the next is."""
+    as_ids = dictionary.holds_ids(df, text)
+    if not as_ids or ngram_range == (1, 1) or dictionary.packs(df.schema[text].metadata[dictionary.BITS], ngram_range[1]):
+        found = with_terms(df, text, keep, ngram_range if as_ids else (1, 1), stop_words)
+        return counting.counted(found, keep, (1, 1) if as_ids else ngram_range, extra)
     found = with_terms(df, text, keep, ngram_range, stop_words)
-    added = F.array(*[F.lit(x) for x in extra]).cast("array<string>")
-    ordered = found.select(*keep, F.sort_array(F.concat("terms", added) if extra else F.col("terms")).alias("terms"))
+    ordered = found.select(*keep, F.sort_array("terms").alias("terms"))
     places = F.when(F.size("terms") > 0, F.sequence(F.lit(0), F.size("terms") - 1)).otherwise(F.array().cast("array<int>"))
     begins = F.filter(places, lambda i: (i == 0) | (F.get("terms", i) != F.get("terms", i - 1)))
     runs = ordered.select(*keep, "terms", begins.alias("begins"))
@@ -173,8 +178,9 @@ def frequent_terms(
     documents = document_count(df)
 
     def found(only: DataFrame | None = None) -> DataFrame:
-        stats = prune(term_stats(df, text, (), ngram_range, stop_words, only), documents, min_df, max_df)
-        return most_frequent(stats, top)
+        stats = term_stats(df, text, (), ngram_range, stop_words, only)
+        stats = stats if only is None else measured(stats)  # few terms, which are read twice
+        return most_frequent(prune(stats, documents, min_df, max_df), top)
 
     as_ids = dictionary.holds_ids(df, text)
     if ngram_range[1] == 1 or (as_ids and not dictionary.packs(df.schema[text].metadata[dictionary.BITS], ngram_range[1])):
