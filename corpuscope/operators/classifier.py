@@ -10,7 +10,7 @@ Terms are counted in the row. Prediction needs no vector: it joins terms with th
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,8 +20,8 @@ from corpuscope.functions.stopwords import ENGLISH
 from corpuscope.operators import logistic
 from corpuscope.operators.cleaning import KEY
 from corpuscope.operators.labels import class_weights
-from corpuscope.operators.terms import counted_terms, vocabulary
-from corpuscope.staging import measured
+from corpuscope.operators.terms import counted_terms, token_table, vocabulary
+from corpuscope.staging import measured, stage
 
 INTERCEPT = ""  # no token is empty
 VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"  # how a vector is stored
@@ -148,8 +148,10 @@ def fit_baseline(
     labels = sorted(weights)
     if len(labels) < 2:
         raise ValueError("The classifier needs at least two labels.")
-    features = TextFeatures.fit(train, max_features, ngram_range, stop_words, text)
-    vectors = features.transform(train.where(F.col(label).isNotNull()), [label], text, key)
+    tokens = stage(token_table(train, text, label, key, stop_words), "fit-tokens", compression="zstd")  # read by three jobs
+    features = TextFeatures.fit(tokens, max_features, ngram_range, (), "tokens")
+    vectors = features.transform(tokens.where(F.col(label).isNotNull()), [label], "tokens", key)
+    features = replace(features, stop_words=tuple(stop_words))
     chunks = logistic.pack(vectors, F.col("features.indices"), F.col("features.values"), F.col(label), labels)
     tasks = [1] if len(labels) == 2 else list(range(len(labels)))
     positive = [weights[labels[k]] for k in tasks]

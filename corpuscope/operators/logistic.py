@@ -61,18 +61,16 @@ def fold(chunk: dict[str, np.ndarray], points: np.ndarray, tasks: np.ndarray, po
     """Sum of losses and its gradient at ``points`` (terms x tasks) over a chunk; every row must have a cell."""
     losses, gradient = np.zeros(len(tasks)), np.zeros_like(points)
     starts, cells, numbers, classes = (chunk[k] for k in ("starts", "cells", "numbers", "classes"))
-    row_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(cells))))
-    step = max(1, 16 * CHUNK // max(len(cells), 1))  # tasks handled at once, each of which takes a number for every cell
-    for at in range(0, len(tasks), step):
-        own = slice(at, at + step)
-        margins = np.add.reduceat(points[cells, own] * numbers[:, None], starts, axis=0)
-        is_label = classes[:, None] == tasks[None, own]
+    cells, lengths = cells.astype(np.intp), np.diff(np.append(starts, len(cells)))
+    # A task at a time: its point is a plain vector, which stays in the processor's cache.
+    for k, task in enumerate(tasks):
+        margins = np.add.reduceat(points[:, k].take(cells) * numbers, starts)
+        is_label = classes == task
         signed = np.where(is_label, margins, -margins)
-        weights = np.where(is_label, positive[own], other[own])
-        losses[own] = (weights * np.logaddexp(0, -signed)).sum(0)
-        pull = weights * np.where(is_label, -1.0, 1.0) * np.exp(-np.logaddexp(0, signed))
-        for k in range(pull.shape[1]):
-            gradient[:, at + k] += np.bincount(cells, numbers * pull[row_of, k], len(points))
+        weights = np.where(is_label, positive[k], other[k])
+        losses[k] = (weights * np.logaddexp(0, -signed)).sum()
+        pull = np.where(is_label, -weights, weights) * np.exp(-np.logaddexp(0, signed))
+        gradient[:, k] = np.bincount(cells, numbers * np.repeat(pull, lengths), len(points))
     return losses, gradient
 
 
