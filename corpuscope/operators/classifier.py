@@ -49,10 +49,10 @@ class TextFeatures:
         intercept = train.sparkSession.createDataFrame([(INTERCEPT, 1.0, size)], terms.schema)
         return cls(measured(terms.unionByName(intercept)), size + 1, tuple(ngram_range), tuple(stop_words))
 
-    def values(self, df: DataFrame, terms: DataFrame, keep: Sequence[str], text: str, key: str) -> DataFrame:
+    def values(self, df: DataFrame, terms: DataFrame, keep: Sequence[str], text: str, key: str, native: bool = False) -> DataFrame:
         """``(key, keep..., index, value, columns of terms...)`` of each row's known terms, and of the intercept;
         values are not yet divided by the row's norm."""
-        counted = counted_terms(df.select(key, *keep, text), text, [key, *keep], self.ngram_range, self.stop_words, (INTERCEPT,))
+        counted = counted_terms(df.select(key, *keep, text), text, [key, *keep], self.ngram_range, self.stop_words, (INTERCEPT,), native)
         known = counted.join(terms, "term")
         return known.withColumn("value", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
 
@@ -89,7 +89,7 @@ class BaselineModel:
         models = 1 if len(self.labels) == 2 else len(self.labels)
         is_term = F.col("index") < self.features.size - 1
         value, term_value = F.col("value"), F.when(is_term, F.col("value")).otherwise(0.0)
-        sums = self.features.values(df, self.coefficients, keep, text, key).groupBy(key, *keep).agg(
+        sums = self.features.values(df, self.coefficients, keep, text, key, native=True).groupBy(key, *keep).agg(
             F.sqrt(F.sum(term_value * term_value)).alias("norm"),
             *[F.sum(term_value * F.col("weights")[i]).alias(f"terms_{i}") for i in range(models)],
             *[F.sum(F.when(~is_term, value * F.col("weights")[i])).alias(f"constant_{i}") for i in range(models)],

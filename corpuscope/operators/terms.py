@@ -18,7 +18,7 @@ from corpuscope.functions.stopwords import CLOUD_EXTRA, ENGLISH
 from corpuscope.operators import counting, dictionary, heavy
 from corpuscope.operators.cleaning import KEY, LABEL, TEXT
 from corpuscope.operators.labels import keep_top_labels, label_counts, top_labels
-from corpuscope.staging import measured
+from corpuscope.staging import measured, stage
 
 COUNTERS = 80_000  # of a task's summary where few n-grams are wanted
 SCORE_DIGITS = 10  # scores are ranked at this precision, so float noise breaks no tie
@@ -100,17 +100,20 @@ def document_terms(
 
 def counted_terms(
     df: DataFrame, text: str, keep: Sequence[str], ngram_range: tuple[int, int], stop_words: Sequence[str],
-    extra: Sequence[str] = (),
+    extra: Sequence[str] = (), native: bool = False,
 ) -> DataFrame:
     """``(keep..., term, tf)`` counted inside each row, in Arrow batches. ``extra`` terms are added to every row once.
 
-    n-grams of ids that are lists are sorted instead: where a run of equal terms begins, and how far the next is."""
+    ``native``, and where n-grams of ids are lists, a row's terms are sorted instead, without Python: where a run of equal terms begins,
+    and how far the next is."""
     as_ids = dictionary.holds_ids(df, text)
-    if not as_ids or ngram_range == (1, 1) or dictionary.packs(df.schema[text].metadata[dictionary.BITS], ngram_range[1]):
+    lists = as_ids and ngram_range != (1, 1) and not dictionary.packs(df.schema[text].metadata[dictionary.BITS], ngram_range[1])
+    if not native and not lists:
         found = with_terms(df, text, keep, ngram_range if as_ids else (1, 1), stop_words)
         return counting.counted(found, keep, (1, 1) if as_ids else ngram_range, extra)
     found = with_terms(df, text, keep, ngram_range, stop_words)
-    ordered = found.select(*keep, F.sort_array("terms").alias("terms"))
+    added = F.array(*[F.lit(x) for x in extra]).cast("array<string>")
+    ordered = found.select(*keep, F.sort_array(F.concat("terms", added) if extra else F.col("terms")).alias("terms"))
     places = F.when(F.size("terms") > 0, F.sequence(F.lit(0), F.size("terms") - 1)).otherwise(F.array().cast("array<int>"))
     begins = F.filter(places, lambda i: (i == 0) | (F.get("terms", i) != F.get("terms", i - 1)))
     runs = ordered.select(*keep, "terms", begins.alias("begins"))
@@ -179,7 +182,7 @@ def frequent_terms(
 
     def found(only: DataFrame | None = None) -> DataFrame:
         stats = term_stats(df, text, (), ngram_range, stop_words, only)
-        stats = stats if only is None else measured(stats)  # few terms, which are read twice
+        stats = stats if only is None else stage(stats, "counted")  # few terms, read twice; plans built on them run no Python
         return most_frequent(prune(stats, documents, min_df, max_df), top)
 
     as_ids = dictionary.holds_ids(df, text)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpuscope.functions import text as T
 from corpuscope.operators import classifier, labels, metrics
 from corpuscope.plans.train import train_baseline
 
@@ -108,3 +109,13 @@ def test_metrics_cover_labels_that_are_never_true_or_never_predicted(spark):
     report = {r.label: r for r in metrics.classification_report(counts).collect()}
     assert report["accuracy"].f1 == pytest.approx(0.4) and report["accuracy"].support == 5
     assert report["weighted avg"].recall == pytest.approx(0.4)
+
+
+def test_a_fit_tokenises_the_rows_once(spark, monkeypatch):
+    calls, tokens = [], T.tokens
+    monkeypatch.setattr(T, "tokens", lambda *a, **k: calls.append(a) or tokens(*a, **k))
+    rows = [(k, f"{'alpha' if k % 2 else 'beta'} word{k % 5} the common", "ab"[k % 2]) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    model = classifier.fit_baseline(df)
+    assert len(calls) == 1 and "the" in model.features.stop_words
+    assert {(r.label, r.prediction) for r in model.predict(df, ["label"]).collect()} == {("a", "a"), ("b", "b")}
