@@ -23,23 +23,26 @@ USES = {
 MIN_WORDS = 10
 
 
-def with_readability(df: DataFrame, text: str = "transcription", scores: Sequence[str] = SCORES) -> DataFrame:
+def with_readability(
+    df: DataFrame, text: str = "transcription", scores: Sequence[str] = SCORES, words: str | None = None, sentences: str | None = None,
+) -> DataFrame:
     """Add the ``scores``, 2 decimals; NULL for NULL texts and below ten words. What no score uses is not counted.
 
     Two decimals also bound the number of distinct scores, which is what keeps exact
     quantiles over them affordable. Words are counted once, and the text is lower-cased once, for all that need it.
+    ``words`` and ``sentences`` may name columns that have these counts already, as :func:`with_text_stats` adds them.
     """
     source, lowered = F.col(text), F.col("_lowered")
     kept = df.columns
     counts = {
-        "s": F.greatest(T.sentence_count(source), F.lit(1)),
-        "groups": F.regexp_count(lowered, F.lit(T.VOWEL_GROUP)),
+        "s": F.greatest(T.sentence_count(source) if sentences is None else F.col(sentences), F.lit(1)),
+        "groups": T.vowel_groups(lowered),
         "voiceless": F.regexp_count(lowered, F.lit(T.WORD_WITHOUT_VOWEL)),
         "complex": F.regexp_count(lowered, F.lit(T.COMPLEX_WORD)),
         "letters": F.length(F.regexp_replace(source, T.NOT_LETTER_OR_DIGIT, "")),
     }
     wanted = {name for score in scores for name in USES[score]}
-    counted = df.select(*kept, F.lower(source).alias("_lowered"), T.word_count(source).alias("_words")).select(
+    counted = df.select(*kept, F.lower(source).alias("_lowered"), (T.word_count(source) if words is None else F.col(words)).alias("_words")).select(
         *kept,
         F.when(F.col("_words") >= MIN_WORDS, F.struct(
             F.col("_words").cast("double").alias("w"),

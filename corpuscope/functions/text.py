@@ -35,8 +35,13 @@ COMPLEX_WORD = rf"{_WORD_START}{_OTHER}*+[aeiouy]++{_OTHER}++[aeiouy]++{_OTHER}+
 NOT_LETTER_OR_DIGIT = r"[^\p{L}\p{Nd}]+"
 
 
-def _count(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern)).cast("long")
+def _count(text: Column, piece: str, between: str) -> Column:
+    """How many pieces there are, where ``between`` is the class of all that stands before, between and after them.
+
+    Each piece becomes one character, with what follows it; counting matches would make a string of each.
+    """
+    marked = F.regexp_replace(text, f"{piece}+[{between}]*+", "x")
+    return (F.length(marked) - F.length(F.regexp_extract(text, f"^[{between}]*+", 0))).cast("long")
 
 
 def strip(text: Column) -> Column:
@@ -51,7 +56,7 @@ def char_len(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Runs of non-whitespace; 0 for NULL."""
-    return F.coalesce(_count(text, WORD), F.lit(0).cast("long"))
+    return F.coalesce(_count(text, WORD, SPACE), F.lit(0).cast("long"))
 
 
 def at_least_words(text: Column, least: int) -> Column:
@@ -64,7 +69,12 @@ def at_least_words(text: Column, least: int) -> Column:
 
 def sentence_count(text: Column) -> Column:
     """Non-blank pieces between runs of ``.``, ``!`` and ``?``; 0 for NULL."""
-    return F.coalesce(_count(text, SENTENCE), F.lit(0).cast("long"))
+    return F.coalesce(_count(text, SENTENCE, rf"{SPACE}.!?"), F.lit(0).cast("long"))
+
+
+def vowel_groups(text: Column) -> Column:
+    """Runs of vowels in a lower-cased text."""
+    return _count(text, VOWEL_GROUP, "^aeiouy")
 
 
 def avg_word_len(text: Column, words: Column) -> Column:

@@ -18,7 +18,7 @@ def document_facts(
 ) -> DataFrame:
     """Key, label, lengths and readability of each row with a text; no text column."""
     present = cleaning.drop_missing(df.select(key, label, text), text)
-    return with_readability(with_text_stats(present, text), text).drop(text)
+    return with_readability(with_text_stats(present, text), text, words="word_count", sentences="sentence_count").drop(text)
 
 
 def corpus_summary(facts: DataFrame, label: str = cleaning.LABEL) -> DataFrame:
