@@ -794,10 +794,14 @@ CSV_FILE_BYTES = 256 << 20  # text of one CSV file: the most that one task write
 
 
 def few_files(df: DataFrame, column: str, limit: int) -> DataFrame:
-    """``df`` in as few parts as hold about ``limit`` bytes of ``column`` each: one part where that is all."""
+    """``df`` in few parts that hold about ``limit`` bytes of ``column`` each: one part where that is all. Rows move only where
+    there are fewer parts to begin with."""
     held = df.agg(F.sum(F.octet_length(column))).first()[0] or 0
     files = 1 + held // limit
-    return df.coalesce(1) if files == 1 else df.repartition(files)
+    if files == 1:
+        return df.coalesce(1)
+    parts = df.rdd.getNumPartitions()
+    return df.coalesce(-(-parts // (parts // files))) if parts >= files else df.repartition(files)
 
 
 @query

@@ -5,7 +5,8 @@ quotes that may be open since an earlier range, so each range is first scanned u
 begins outside or inside quotes. That gives what the range makes of either state, three small values. A
 prefix pass over the ranges of a file, in order, then tells the state in which each really begins. Now the ranges are cut
 into records, again in parallel. Records that lie inside a range are whole; of others each range
-gives a fragment, at most two, and only fragments move to be joined.
+gives a fragment, at most two, and only fragments move to be joined. A task takes many ranges where they are small: the ranges
+stay as they were cut, but neither tasks nor stored files are as many.
 
 A quote opens a cell only as its first character, and is doubled inside it. Whatever follows a closing quote runs
 to the next comma or the line's end. Lines end in ``\\n`` or ``\\r\\n``; a record that ends in the latter has its own line breaks
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 
 from corpuscope.staging import stage
 
+TASK_BYTES = 32 << 20  # of the small ranges that one task takes, once there are tasks for every core
+TASKS_A_CORE = 4
+SCANNED_ROWS = 1000  # ranges to a batch
 SCANNED = "file long, start long, outside boolean, inside boolean, closes boolean"
 CUT = "file long, start long, place int, text string, owner long, whole boolean"
 
@@ -64,7 +68,18 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return source.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
 
+def gathered(ranged: DataFrame) -> DataFrame:
+    """The same ranges, several small ones to a task. A task begins a process and a file, which cost more than a small range."""
+    spark = ranged.sparkSession
+    ranges = ranged.rdd.getNumPartitions()
+    each = max(1, TASK_BYTES // spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    tasks = max(-(-ranges // each), min(ranges, TASKS_A_CORE * spark.sparkContext.defaultParallelism))
+    return ranged.coalesce(tasks) if tasks < ranges else ranged
+
+
 def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["file", "start", "outside", "inside", "closes"]
+    rows: list[tuple] = []
     for (file, start), own in _ranges(batches):
         outside, inside, closes = False, True, False
         for line in own:
@@ -72,8 +87,12 @@ def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             outside = ends_inside(line, outside)
             inside = outside if same else ends_inside(line, inside)
             closes = closes or not inside
-        row = [[file], [start], [outside], [inside], [closes]]
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in row], names=["file", "start", "outside", "inside", "closes"])
+        rows.append((file, start, outside, inside, closes))
+        if len(rows) == SCANNED_ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in zip(*rows)], names=names)
+            rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in zip(*rows)], names=names)
 
 
 def prefix_states(scanned: Iterable[tuple[int, int, bool, bool, bool]]) -> dict[tuple[int, int], tuple[bool, int, bool]]:
@@ -94,7 +113,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
     The driver learns three truth values of each range, and nothing of the text.
     """
-    ranged = lines(spark, path)
+    ranged = gathered(lines(spark, path))
     scanned = ranged.mapInArrow(_scan, SCANNED).collect()
     states = spark.sparkContext.broadcast(prefix_states(map(tuple, scanned)))
 
@@ -125,11 +144,12 @@ def records(spark: SparkSession, path: str) -> DataFrame:
             yield _cut_batch(held)
 
     found = stage(ranged.mapInArrow(cut, CUT), "records", partition_by="whole")
+    inside, others = gathered(found.where("whole")), gathered(found.where(~F.col("whole")))
     # A fragment is named by the range where its record began; pieces of a record are put together in order.
     piece = F.struct("start", "place", "text")
-    pieces = found.where(~F.col("whole")).groupBy("file", "owner").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+    pieces = others.groupBy("file", "owner").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
     joined = pieces.select(F.array_join("pieces.text", "\n").alias("text"), (F.col("pieces")[0]["place"] == 0).alias("first"))
-    whole = found.where("whole").select("text", (F.col("place") == 0).alias("first"))
+    whole = inside.select("text", (F.col("place") == 0).alias("first"))
     text = F.when(F.col("text").endswith("\r"), F.regexp_replace(F.regexp_replace("text", "\r$", ""), "\r\n", "\n")).otherwise(F.col("text"))
     return whole.unionByName(joined).select(text.alias("text"), "first")
 

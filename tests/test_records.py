@@ -99,6 +99,23 @@ def test_ranges_give_the_records_of_one_reader(spark, tmp_path, size, end):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_small_ranges_share_tasks_and_files(spark, tmp_path):
+    (tmp_path / "notes.csv").write_bytes(made(3, 2500).encode())
+    path = str(tmp_path / "notes.csv")
+    want = sorted(map(tuple, whole(spark, path).collect()), key=str)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600b")
+    try:
+        most = records.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+        assert records.lines(spark, path).rdd.getNumPartitions() > 10 * most
+        got = records.records(spark, path)
+        assert len(got.inputFiles()) <= 2 * most and got.rdd.getNumPartitions() <= 4 * most
+        raw = got.where("not first").select(records.cells(F.col("text"), NAMES, **tables.DIALECT).alias("c")).select("c.*")
+        assert sorted(map(tuple, raw.collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_a_header_that_differs_is_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("," + ",".join(NAMES[1:]) + "\n1,d,t,s,k,m\n")
     (tmp_path / "b.csv").write_text("," + ",".join(reversed(NAMES[1:])) + "\n1,d,t,s,k,m\n")
