@@ -50,8 +50,8 @@ def grams(tokens: pa.Array, low: int, high: int) -> Iterator[tuple[np.ndarray, n
         yield row[kept], number[begun[kept]], pc.binary_join_element_wise(*parts, " ")
 
 
-def row_counts(tokens: pa.Array, low: int, high: int, extra: Sequence[str] = ()) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Of a list column the number of different terms of each row, then, row by row, these terms and their counts.
+def row_codes(tokens: pa.Array, low: int, high: int, extra: Sequence[str] = ()) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Of a list column, row by row, the different terms of each row: the row, the term's number, what the numbers stand for, and the count.
 
     Terms are the n-grams for n in ``low..high``, and once in each row that is not NULL the ``extra`` ones.
     """
@@ -63,8 +63,13 @@ def row_counts(tokens: pa.Array, low: int, high: int, extra: Sequence[str] = ())
     every = np.concatenate([rows * size + codes + first for (rows, codes, _), first in zip(found, before)])
     pairs, counts = np.unique(every, return_counts=True)
     row, code = np.divmod(pairs, size)
-    names = pa.concat_arrays([names.cast(found[0][2].type) for _, _, names in found])
-    return np.bincount(row, minlength=len(tokens)), names.take(pa.array(code)), counts.astype(np.int64)
+    return row, code, pa.concat_arrays([names.cast(found[0][2].type) for _, _, names in found]), counts.astype(np.int64)
+
+
+def row_counts(tokens: pa.Array, low: int, high: int, extra: Sequence[str] = ()) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Of a list column the number of different terms of each row, then, row by row, these terms and their counts, as :func:`row_codes` has them."""
+    row, code, names, counts = row_codes(tokens, low, high, extra)
+    return np.bincount(row, minlength=len(tokens)), names.take(pa.array(code)), counts
 
 
 def counted(found: DataFrame, keep: Sequence[str], ngram_range: tuple[int, int], extra: Sequence[str] = ()) -> DataFrame:

@@ -119,3 +119,22 @@ def test_a_fit_tokenises_the_rows_once(spark, monkeypatch):
     model = classifier.fit_baseline(df)
     assert len(calls) == 1 and "the" in model.features.stop_words
     assert {(r.label, r.prediction) for r in model.predict(df, ["label"]).collect()} == {("a", "a"), ("b", "b")}
+
+
+def test_known_terms_are_looked_up_in_the_row(spark, monkeypatch):
+    """No join and no row for each term; the same numbers as by the join, also where keys repeat, are NULL, or have no text."""
+    df = frame(spark, [*THREE, (1, "tide quay tide", "harbour"), (None, "apple", "orchard"), (None, None, "orchard"), (500, "unseen", "quarry")])
+    model = classifier.fit_baseline(frame(spark, THREE))
+    vectors, margins = model.features.transform(df, ["label"]), model.margins(df, ["label"])
+    for found in (vectors, margins):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Generate" not in plan
+    monkeypatch.setattr(classifier, "SENT", 0)
+    for found, joined, name in ((vectors, model.features.transform(df, ["label"]), "features.values"), (margins, model.margins(df, ["label"]), "margins")):
+        assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
+        rows = [sorted(((r[0] is None, r[0] or 0, r[1], r[2]) for r in x.select("doc_id", "label", name).collect()), key=lambda r: r[:3]) for x in (found, joined)]
+        assert [r[:3] for r in rows[0]] == [r[:3] for r in rows[1]] and len(rows[0]) == len(THREE) + 2
+        for a, b in zip(*rows):
+            assert a[3] == pytest.approx(b[3])
+    assert sorted(map(str, vectors.select("doc_id", "label", "features.indices").collect())) == sorted(
+        map(str, model.features.transform(df, ["label"]).select("doc_id", "label", "features.indices").collect()))
